@@ -132,11 +132,17 @@ def limit_breaches(rules: Sequence[LimitRule] = LIMIT_RULES) -> Column:
 
 
 def breaches_any(rules: Sequence[FlagRule] | Sequence[LimitRule]) -> Column:
-    """Plain predicate "some rule fires", simple enough to be pushed to a Parquet scan."""
-    hit = F.lit(False)
+    """Plain predicate "some rule fires", simple enough to be pushed to a Parquet scan: the
+    loosest limit of each metric and direction."""
+    loosest: dict[tuple[str, str], float] = {}
     for rule in rules:
         limit = rule.limit if isinstance(rule, FlagRule) else rule.warning
-        hit = hit | breached(rule.metric, rule.op, limit)
+        wider = min if rule.op == ">" else max
+        key = (rule.metric, rule.op)
+        loosest[key] = wider(limit, loosest.get(key, limit))
+    hit = F.lit(False)
+    for (metric, op), limit in loosest.items():
+        hit = hit | breached(metric, op, float(limit))
     return hit
 
 

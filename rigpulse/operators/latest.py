@@ -27,8 +27,14 @@ def latest_per_key(
     order: str = "recorded_at",
     tie: str = "event_id",
 ) -> DataFrame:
-    """The newest row of every key, equal times settled by the larger ``tie``."""
-    return first_per_key(readings, [key], [F.col(order).desc(), F.col(tie).desc()])
+    """The newest row of every key, equal times settled by the larger ``tie``.
+
+    An aggregate rather than a window: each task keeps one row per key before the shuffle, and
+    sorts its input by the key alone.
+    """
+    rest = [c for c in readings.columns if c != key]
+    newest = F.max_by(F.struct(*rest), F.struct(order, tie)).alias("_row")
+    return readings.groupBy(key).agg(newest).select(key, "_row.*")
 
 
 def equipment_latest(readings: DataFrame, equipment: DataFrame) -> DataFrame:
@@ -38,8 +44,8 @@ def equipment_latest(readings: DataFrame, equipment: DataFrame) -> DataFrame:
     pick and only meets one row per machine.
     """
     machines = equipment.select("equipment_id", "equipment_type", "model", "site_id")
-    wanted = [c for c in readings.columns if c in LATEST_COLUMNS or c == "event_id"]
-    newest = latest_per_key(readings.select(*wanted))
+    measured = [c for c in LATEST_COLUMNS if c == "equipment_id" or c not in machines.columns]
+    newest = latest_per_key(readings.select(*measured, "event_id"))
     return newest.join(machines, "equipment_id").select(*LATEST_COLUMNS)
 
 

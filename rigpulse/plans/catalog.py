@@ -90,9 +90,8 @@ def _damaged(w) -> DataFrame:
 @_query
 def malformed_split(w):
     parsed = D.parse(_damaged(w))
-    good = D.valid(parsed).select("event_id", F.lit("valid").alias("outcome"))
-    bad = D.quarantine(parsed).select(F.col("key").alias("event_id"), F.col("problem").alias("outcome"))
-    return good.unionByName(bad)
+    outcome = F.coalesce("problem", F.lit("valid")).alias("outcome")
+    return parsed.select(F.col("_key").alias("event_id"), outcome)
 
 
 def _alert_messages(w) -> DataFrame:

@@ -31,11 +31,10 @@ def _problem(required: Sequence[str]) -> Column:
     """Why a record is refused, null for a good one."""
     missing = F.lit(False)
     for name in required:
-        missing = missing | F.col(f"data.{name}").isNull()
-    return (
-        F.when(F.col(f"data.{_CORRUPT}").isNotNull() | F.col("data").isNull(), F.lit("malformed"))
-        .when(missing, F.lit("missing_field"))
-    )
+        missing = missing | F.col(name).isNull()
+    empty = F.coalesce(F.trim(F.col("_value").cast("string")), F.lit("")) == ""
+    unreadable = F.col(_CORRUPT).isNotNull() | empty
+    return F.when(unreadable, F.lit("malformed")).when(missing, F.lit("missing_field"))
 
 
 def parse(
@@ -43,22 +42,35 @@ def parse(
     schema: T.StructType = SENSOR_EVENT,
     required: Sequence[str] = SENSOR_REQUIRED,
 ) -> DataFrame:
-    """Messages + data struct + problem, one parse for both the good and the bad side."""
-    return messages.withColumn("data", _parsed(schema)).withColumn("problem", _problem(required))
+    """Typed columns, the raw message (underscored) and the problem, if any.
+
+    The parsed record leaves a generator, not a projection: Spark would copy a projected
+    from_json into each later use of a field, filters included, and parse the text many times.
+    """
+    rows = messages.select(
+        F.col("key").alias("_key"),
+        F.col("value").alias("_value"),
+        F.col("topic").alias("_topic"),
+        F.col("timestamp").alias("kafka_timestamp"),
+        F.inline(F.array(_parsed(schema))),
+    )
+    return rows.withColumn("problem", _problem(required)).drop(_CORRUPT)
 
 
 def valid(parsed: DataFrame, schema: T.StructType = SENSOR_EVENT) -> DataFrame:
     """Typed columns of the good records, broker time kept as kafka_timestamp."""
-    return parsed.where(F.col("problem").isNull()).select(
-        *[F.col(f"data.{name}").alias(name) for name in schema.fieldNames()],
-        F.col("timestamp").alias("kafka_timestamp"),
-    )
+    good = parsed.where(F.col("problem").isNull())
+    return good.select(*schema.fieldNames(), "kafka_timestamp")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Refused records with their whole text and the reason."""
     return parsed.where(F.col("problem").isNotNull()).select(
-        "key", F.col("value").cast("string").alias("value"), "topic", "timestamp", "problem"
+        F.col("_key").alias("key"),
+        F.col("_value").cast("string").alias("value"),
+        F.col("_topic").alias("topic"),
+        F.col("kafka_timestamp").alias("timestamp"),
+        "problem",
     )
 
 
