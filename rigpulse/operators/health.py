@@ -72,23 +72,31 @@ def alert_totals(alerts: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def side_by_side(*single_rows: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row. The frames are stacked and each column
+    keeps its only value, so no join is involved."""
+    stacked, *rest = single_rows
+    for frame in rest:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
 def ingest_stats(
     readings: DataFrame, equipment: DataFrame, alerts: DataFrame, as_of: str
 ) -> DataFrame:
-    """Header figures, one row. The joins below put one-row frames side by side."""
-    return (
-        reading_counts(readings, as_of)
-        .crossJoin(alert_totals(alerts, as_of))
-        .crossJoin(fault_count(readings, equipment))
-        .select(
-            "total_readings",
-            "readings_last_hour",
-            "readings_last_5min",
-            "open_alerts",
-            "critical_alerts",
-            "equipment_in_fault",
-            "last_reading_at",
-        )
+    """Header figures, one row."""
+    return side_by_side(
+        reading_counts(readings, as_of),
+        alert_totals(alerts, as_of),
+        fault_count(readings, equipment),
+    ).select(
+        "total_readings",
+        "readings_last_hour",
+        "readings_last_5min",
+        "open_alerts",
+        "critical_alerts",
+        "equipment_in_fault",
+        "last_reading_at",
     )
 
 
@@ -104,16 +112,13 @@ def ingest_health(
     readings: DataFrame, alerts: DataFrame, as_of: str, minimum: int = MIN_RECENT_ROWS
 ) -> DataFrame:
     """Totals and the recency verdict, one row."""
-    return (
-        reading_counts(readings, as_of)
-        .crossJoin(alert_totals(alerts, as_of))
-        .select(
-            "total_readings",
-            "open_alerts",
-            "alerts_last_hour",
-            F.col("readings_last_5min").alias("recent_rows"),
-            (F.col("readings_last_5min") >= minimum).alias("healthy"),
-        )
+    recent = F.col("readings_last_5min")
+    return side_by_side(reading_counts(readings, as_of), alert_totals(alerts, as_of)).select(
+        "total_readings",
+        "open_alerts",
+        "alerts_last_hour",
+        recent.alias("recent_rows"),
+        (recent >= minimum).alias("healthy"),
     )
 
 

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from rigpulse.functions.text import month_from_name, month_name
 from rigpulse.functions.time import month_start, ts
+from rigpulse.sinks.tables import overwrite_partitions
 
 # Days kept, months with a partition of their own, name stem.
 RETENTION_DAYS = 90
 DECLARED_MONTHS = ("2024_01", "2024_12", "2025_01", "2025_06", "2025_07")
 STEM = "sensor_readings"
 
+_MONTH = "_month"
+
 
 def route_months(
     df: DataFrame,
@@ -88,30 +91,26 @@ def apply_retention(
 ) -> DataFrame:
     """Archive expired months, compare row counts, write the rest; returns the rows kept.
 
-    Rows of months without a partition of their own expire with their month like all others;
-    rows without a time are kept. The source is left as it is: the caller swaps in ``keep_path``
-    once this returns.
+    Months without a partition of their own expire by their rows' time like all others; rows
+    without a time are kept. Months archived by earlier runs stay, and a month archived again
+    replaces itself. The source is left as it is: the caller swaps in ``keep_path`` once this
+    returns.
     """
     month = month_start(F.col(column))
-    staged = df.withColumn("_month", month)
+    staged = df.withColumn(_MONTH, month)
     gone = F.coalesce(_expired(month, as_of, days, legacy), F.lit(False))
-    _write_months(staged.where(gone), archive_path)
+    overwrite_partitions(staged.where(gone), archive_path, [_MONTH])
 
-    expected = staged.where(gone).groupBy("_month").agg(F.count("*").alias("expected"))
+    expected = staged.where(gone).groupBy(_MONTH).agg(F.count("*").alias("expected"))
     archived = spark.read.schema(staged.schema).parquet(archive_path)
-    found = archived.groupBy("_month").agg(F.count("*").alias("found"))
-    differing = expected.join(found, "_month", "full").where(
+    found = archived.groupBy(_MONTH).agg(F.count("*").alias("found"))
+    differing = expected.join(found, _MONTH, "left").where(
         ~F.col("expected").eqNullSafe(F.col("found"))
     )
     wrong = differing.limit(1).collect()
     if wrong:
         raise ArchiveIncomplete(str(wrong[0].asDict()))
 
-    _write_months(staged.where(~gone), keep_path)
-    return spark.read.schema(staged.schema).parquet(keep_path).drop("_month")
-
-
-def _write_months(df: DataFrame, path: str) -> None:
-    spread = df.hint("rebalance", "_month")
-    spread.write.mode("overwrite").partitionBy("_month").parquet(path)
-
+    kept = staged.where(~gone).hint("rebalance", _MONTH)
+    kept.write.mode("overwrite").partitionBy(_MONTH).parquet(keep_path)
+    return spark.read.schema(staged.schema).parquet(keep_path).drop(_MONTH)

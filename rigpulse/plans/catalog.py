@@ -24,10 +24,12 @@ from rigpulse.plans import reads as P
 from rigpulse.plans.portable import portable
 from rigpulse.schemas import (
     ALERT_EVENT,
+    ALERTS,
     DAILY_KPI,
     DOMAINS,
     MAX_LENGTHS,
     NOT_NULL,
+    SENSOR_READINGS,
     TOPIC_ALERTS,
     TOPIC_SENSOR,
 )
@@ -553,7 +555,16 @@ def stream_sliding_stats(w):
 def stream_live_alerts(w):
     root = scratch_dir(w.spark, "stream-live")
     J.drain(J.live_query(_event_stream(w), root, f"{root}/checkpoint", J.DRAIN))
-    return portable(w.spark.read.parquet(f"{root}/alerts").select(*A.ALERT_COLUMNS))
+    alerts = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
+    return portable(alerts.select(*A.ALERT_COLUMNS))
+
+
+@_query
+def stream_latest(w):
+    root = scratch_dir(w.spark, "stream-latest")
+    J.drain(J.latest_query(_event_stream(w), f"{root}/latest", f"{root}/checkpoint", J.DRAIN))
+    newest = J.current_latest(w.spark, f"{root}/latest")
+    return portable(newest.select("equipment_id", "event_id", "recorded_at", "status"))
 
 
 @_query
@@ -583,8 +594,8 @@ def stream_all_tables(w):
     J.drain(*J.run_all(_event_stream(w), root, f"{root}/checkpoint", [J.DRAIN] * 3))
     spark = w.spark
     outputs = {
-        "readings": spark.read.parquet(f"{root}/readings"),
-        "alerts": spark.read.parquet(f"{root}/alerts"),
+        "readings": T.read_dated(spark, f"{root}/readings", SENSOR_READINGS, "recorded_at"),
+        "alerts": T.read_dated(spark, f"{root}/alerts", ALERTS, "triggered_at"),
         "archive": T.read_archive(spark, f"{root}/archive", _january(1), _january(31)),
         "windows": J.current_windows(spark, f"{root}/windows"),
     }

@@ -382,8 +382,9 @@ _INGEST = f"""
 
 
 def _decimal(column: str, precision: int, scale: int) -> str:
-    """Rounds the decimal text of a double half up, as a cast to a stored decimal does."""
-    return f"CAST(CAST(CAST({column} AS VARCHAR) AS DECIMAL({precision},{scale})) AS DOUBLE) AS {column}"
+    """A double in a stored decimal: noise beyond six more digits dropped, then half up."""
+    text = f"CAST(round({column}, {scale + 6}) AS VARCHAR)"
+    return f"CAST(CAST({text} AS DECIMAL({precision},{scale})) AS DOUBLE) AS {column}"
 
 
 def _plan(table: str, cutoff: str) -> str:
@@ -794,10 +795,13 @@ def all_oracles() -> dict[str, str]:
     q["stream_sliding_stats"] = q["sliding_stats"]
     q["stream_live_alerts"] = _with(
         """SELECT alert_id, equipment_id, site_id, triggered_at, alert_type, severity, metric,
-                  CAST(CAST(CAST(value AS VARCHAR) AS DECIMAL(12,3)) AS DOUBLE) AS value,
+                  CAST(CAST(CAST(round(value, 9) AS VARCHAR) AS DECIMAL(12,3)) AS DOUBLE) AS value,
                   threshold, message FROM flag_alerts""",
         "flag_alerts",
     )
+    q["stream_latest"] = _with(
+        "SELECT equipment_id, event_id, recorded_at, status FROM newest", "newest"
+    )
     q["stream_dedupe"] = _with(
         'SELECT event_id, equipment_id, "timestamp" FROM sensor_events', "sensor_events"
     )

@@ -48,6 +48,7 @@ ENRICHED_EVENT = _struct(
     ("has_anomaly", FLAG),
     ("is_critical", FLAG),
 )
+DAY_PARTITION = "on_day"
 ARCHIVE_PARTITIONS = ("site_id", "year", "month", "day", "batch_id")
 ARCHIVED_EVENT = _struct(
     *[(f.name, f.dataType) for f in ENRICHED_EVENT.fields],

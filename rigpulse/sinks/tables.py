@@ -10,19 +10,35 @@ from pyspark.sql import types as T
 
 from rigpulse.functions.time import with_date_parts
 from rigpulse.operators.latest import first_per_key
-from rigpulse.schemas import ARCHIVE_PARTITIONS, SENSOR_READINGS
+from rigpulse.schemas import ARCHIVE_PARTITIONS, DAY_PARTITION, SENSOR_READINGS
 
 # Rows per JDBC round trip.
 READINGS_PAGE = 500
 KPI_PAGE = 100
 
 
+# Digits kept beyond a decimal's scale before it is rounded to that scale.
+GUARD_DIGITS = 6
+
+
+def _stored(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Cast to a stored type. Doubles drop their last digits first, so that a mean whose sum was
+    added up in another order still rounds to the same decimal."""
+    if isinstance(have, T.DoubleType) and isinstance(want, T.DecimalType):
+        column = F.round(column, want.scale + GUARD_DIGITS)
+    return column.cast(want)
+
+
 def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of a stored table in their stored types; columns the frame lacks become null."""
-    present = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            (
+                _stored(F.col(f.name), have[f.name], f.dataType)
+                if f.name in have
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
             for f in schema.fields
         ]
     )
@@ -67,11 +83,18 @@ def write_archive(events: DataFrame, root: str, batch_id: int) -> None:
     overwrite_partitions(dated, root, ARCHIVE_PARTITIONS)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add one micro-batch to a table; the same batch written again replaces itself.
+def write_dated(df: DataFrame, path: str, column: str, batch_id: int) -> None:
+    """Add one micro-batch to a fact table kept by day; the same batch written again replaces
+    itself. Read it with ``read_dated``."""
+    dated = df.withColumns(
+        {DAY_PARTITION: F.to_date(column), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    overwrite_partitions(dated, path, [DAY_PARTITION, "batch_id"])
 
-    The folder of the batch is written whole, so a batch without rows also replaces itself.
-    """
+
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add one micro-batch to a table without days; the same batch written again replaces itself,
+    also when it has no rows."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 

@@ -11,10 +11,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rigpulse.operators.alerts import flag_alerts
 from rigpulse.operators.enrich import enrich
-from rigpulse.operators.latest import first_per_key
+from rigpulse.operators.latest import first_per_key, latest_per_key
 from rigpulse.operators.windows import KEYS, sliding_stats
-from rigpulse.schemas import ALERT_DEFAULTS, ALERTS
-from rigpulse.sinks.tables import stored_readings, to_schema, write_archive, write_batch
+from rigpulse.schemas import ALERT_DEFAULTS, ALERTS, SENSOR_READINGS
+from rigpulse.sinks.tables import (
+    stored_readings,
+    to_schema,
+    write_archive,
+    write_batch,
+    write_dated,
+)
 from rigpulse.sources.decode import decode, parse, quarantine, valid
 from rigpulse.sources.tables import with_defaults
 
@@ -93,8 +99,8 @@ def live_query(
     def write(batch: DataFrame, batch_id: int) -> None:
         def tables() -> None:
             events = valid(batch)
-            write_batch(stored_readings(events), f"{root}/readings", batch_id)
-            write_batch(alert_rows(events), f"{root}/alerts", batch_id)
+            write_dated(stored_readings(events), f"{root}/readings", "recorded_at", batch_id)
+            write_dated(alert_rows(events), f"{root}/alerts", "triggered_at", batch_id)
             write_batch(quarantine(batch), f"{root}/quarantine", batch_id)
 
         _unless_empty(batch, tables)
@@ -102,6 +108,33 @@ def live_query(
     return _start(parse(messages), write, checkpoint, trigger)
 
 
+def _slot(root: str, batch_id: int) -> str:
+    return f"{root}/slot={batch_id % 2}"
+
+
+def latest_query(
+    messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(LIVE_TRIGGER)
+) -> StreamingQuery:
+    """A standing table of every machine's newest reading, so that the latest-state queries need
+    not scan the history. Two slots take turns: a batch reads the slot of the batch before it and
+    writes the other one, which a replay may repeat safely."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = stored_readings(batch)
+        if batch_id > 0:
+            before = batch.sparkSession.read.schema(SENSOR_READINGS).parquet(_slot(root, batch_id - 1))
+            rows = rows.unionByName(before)
+        latest_per_key(rows).write.mode("overwrite").parquet(_slot(root, batch_id))
+
+    return _start(decode(messages), write, checkpoint, trigger)
+
+
+def current_latest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest reading per machine over both slots; readings columns."""
+    slots = spark.read.schema(SENSOR_READINGS).parquet(root)
+    return latest_per_key(slots.select(*SENSOR_READINGS.fieldNames()))
+
+
 def archive_query(
     messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(ARCHIVE_TRIGGER)
 ) -> StreamingQuery:

@@ -404,6 +404,15 @@ def test_retention_apply_keeps_every_row_once(spark):
         assert rows(spark.read.parquet(f"{root}/a"), "event_id") == [("e0000",), ("e0001",)]
 
 
+def test_retention_keeps_earlier_archives(spark):
+    root = scratch_dir(spark, "retention-twice")
+    earlier = readings(spark, {"event_id": "old", "timestamp": datetime(2024, 8, 1)})
+    later = readings(spark, {"event_id": "new", "timestamp": datetime(2024, 9, 1)})
+    for frame in (earlier, later):
+        N.apply_retention(spark, frame, AS_OF, f"{root}/a", f"{root}/k")
+    assert rows(spark.read.parquet(f"{root}/a"), "event_id") == [("new",), ("old",)]
+
+
 def test_retention_with_nothing_expired(spark):
     frame = readings(spark, {})
     root = scratch_dir(spark, "retention-empty")

@@ -14,7 +14,7 @@ from rigpulse.sources import decode as D
 from rigpulse.sources import streams, tables
 from rigpulse.streaming import jobs as J
 from rigpulse.streaming.progress import progress_frame
-from tests.helpers import events, readings, rows, sites
+from tests.helpers import events, plan, readings, rows, sites
 
 T0 = datetime(2025, 1, 1)
 
@@ -74,6 +74,17 @@ def test_batch_written_again_replaces_itself(spark):
     assert rows(spark.read.parquet(path), "event_id") == [("a",), ("b",)]
 
 
+def test_dated_table_prunes_days_and_replays(spark):
+    path = scratch_dir(spark, "dated")
+    times = [at(hours=h) for h in (-1, 0, 23, 24, 47, 48)]
+    frame = readings(spark, *[{"timestamp": t} for t in times])
+    for batch in (0, 0, 1):
+        S.write_dated(S.to_schema(frame, SENSOR_READINGS), path, "recorded_at", batch)
+    found = tables.read_dated(spark, path, SENSOR_READINGS, "recorded_at", T0, at(days=2))
+    assert rows(found, "recorded_at") == [(t,) for t in times[1:5] for _ in range(2)]
+    assert "on_day" in plan(found).split("PartitionFilters: [")[1].split("]")[0]
+
+
 # Streams
 
 
@@ -146,15 +157,36 @@ def test_stateless_tables_take_late_rows_and_survive_restart(spark):
     bad = D.encode(events(spark, {})).withColumn("value", F.encode(F.lit("junk"), "UTF-8"))
     feed.add(bad)
     drain()
-    assert rows(spark.read.parquet(f"{out}/readings"), "event_id") == [("late",), ("now",)]
-    alerts = spark.read.parquet(f"{out}/alerts")
+    stored = tables.read_dated(spark, f"{out}/readings", SENSOR_READINGS, "recorded_at")
+    assert rows(stored, "event_id") == [("late",), ("now",)]
+    alerts = tables.read_dated(spark, f"{out}/alerts", ALERTS, "triggered_at")
     assert rows(alerts, "alert_type") == [("HIGH_ENGINE_TEMP",), ("WARN_ENGINE_TEMP",)]
-    assert set(ALERTS.fieldNames()) <= set(alerts.columns)
     assert rows(spark.read.parquet(f"{out}/quarantine"), "value", "problem") == [("junk", "malformed")]
     archived = tables.read_archive(spark, f"{out}/archive", T0, at(days=1))
     assert rows(archived, "event_id", "is_critical") == [("late", False), ("now", True)]
 
 
+def test_latest_table_over_batches(spark):
+    feed = Feed(spark)
+    batches = [
+        [{"event_id": "a", "timestamp": at(hours=2)}, {"event_id": "b", "equipment_id": "m2"}],
+        [{"event_id": "c", "timestamp": at(hours=1)}],
+        [{"event_id": "d", "equipment_id": "m2", "timestamp": at(hours=5)}],
+        [{"event_id": "z", "timestamp": at(hours=2)}, {"event_id": "e", "equipment_id": "m3"}],
+    ]
+    expected = [
+        [("m1", "a"), ("m2", "b")],
+        [("m1", "a"), ("m2", "b")],
+        [("m1", "a"), ("m2", "d")],
+        [("m1", "z"), ("m2", "d"), ("m3", "e")],
+    ]
+    for batch, latest in zip(batches, expected):
+        _send(feed, *batch)
+        J.drain(J.latest_query(feed.stream(), f"{feed.root}/l", f"{feed.root}/c", J.DRAIN))
+        found = J.current_latest(spark, f"{feed.root}/l")
+        assert rows(found, "equipment_id", "event_id") == latest
+
+
 def test_duplicates_within_the_watermark(spark):
     feed = Feed(spark)
     for minute in (0, 3, 5):
