@@ -18,6 +18,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Settings only a new session takes. Call sites for error messages cost several JVM round trips
+# per column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -29,7 +33,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str, **conf: str) -> SparkSession:
     """Session for a job submitted to a cluster; master and sizes come from spark-submit."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rigpulse.functions.text import hash_id
 from rigpulse.operators.alerts import limit_alerts
@@ -22,13 +23,8 @@ LAST_DAY = "2024-01-30"
 KPI_DAY = "2024-01-10"
 
 
-def _machine_type(key: Column) -> Column:
-    slot = key % 3
-    return (
-        F.when(slot == 0, F.lit("haul_truck"))
-        .when(slot == 1, F.lit("drill_rig"))
-        .otherwise(F.lit("excavator"))
-    )
+# Schemas already read from the files of these read-only tables, by path.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 class Warehouse:
@@ -37,21 +33,24 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        path = f"{self.root}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def readings(self) -> DataFrame:
         """Sensor readings as doubles, one row per event."""
         return readings_from_events(self.table("events"))
 
     def equipment(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").select(
-            key.cast("string").alias("equipment_id"),
-            F.col("c_nationkey").cast("string").alias("site_id"),
-            _machine_type(key).alias("equipment_type"),
-            F.col("c_mktsegment").alias("model"),
-            F.when(key % 3 == 0, F.lit(250.0)).otherwise(F.lit(500.0)).alias("service_interval_hrs"),
-            (key % 10 != 9).alias("active"),
+        return self.table("customer").selectExpr(
+            "CAST(c_custkey AS STRING) AS equipment_id",
+            "CAST(c_nationkey AS STRING) AS site_id",
+            """CASE c_custkey % 3 WHEN 0 THEN 'haul_truck' WHEN 1 THEN 'drill_rig'
+               ELSE 'excavator' END AS equipment_type""",
+            "c_mktsegment AS model",
+            "IF(c_custkey % 3 = 0, 250.0D, 500.0D) AS service_interval_hrs",
+            "c_custkey % 10 <> 9 AS active",
         )
 
     def sites(self) -> DataFrame:
@@ -111,32 +110,35 @@ def log_id(order_key: Column) -> Column:
 
 
 def readings_from_events(events: DataFrame) -> DataFrame:
-    value, user, event_id = F.col("value"), F.col("user_id"), F.col("event_id")
-    k, kind = F.col("k"), F.col("event_type")
-    parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("double"))
-    return parsed.select(
-        event_id.cast("string").alias("event_id"),
-        user.cast("string").alias("equipment_id"),
-        F.col("ts").cast("timestamp").alias("recorded_at"),
-        (80 + 0.2 * value).alias("engine_temp_c"),
-        (1200 + value).alias("engine_rpm"),
-        (420 - 1.5 * value).alias("oil_pressure_kpa"),
-        (3.5 + 0.06 * value).alias("vibration_mm_s"),
-        k.alias("fuel_level_pct"),
-        (40 + 0.9 * k).alias("fuel_burn_rate"),
-        F.when(user % 3 == 0, 180 + 0.2 * value).alias("payload_tonnes"),
-        F.when(user % 3 == 1, 90 + 0.5 * value).alias("drill_rpm"),
-        F.when(user % 3 == 2, 300 + value).alias("dig_force_kn"),
-        (0.5 * k).alias("speed_kmh"),
-        (-22.3 + 0.001 * k).alias("latitude"),
-        (118.5 + 0.001 * k).alias("longitude"),
-        F.when(kind.isin("view", "click"), F.lit("operating"))
-        .when(kind == "signup", F.lit("idle"))
-        .when(kind == "purchase", F.lit("maintenance"))
-        .when(kind == "error", F.lit("fault"))
-        .alias("status"),
-        ((event_id * 7 + user) % 600).cast("double").alias("hours_since_service"),
-        F.when(kind == "error", F.concat(F.lit("F"), 100 + user % 900)).alias("fault_code"),
+    parsed = events.selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        "CAST(ts AS TIMESTAMP) AS recorded_at",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS k",
+    )
+    return parsed.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(user_id AS STRING) AS equipment_id",
+        "recorded_at",
+        "80 + 0.2D * value AS engine_temp_c",
+        "1200 + value AS engine_rpm",
+        "420 - 1.5D * value AS oil_pressure_kpa",
+        "3.5D + 0.06D * value AS vibration_mm_s",
+        "k AS fuel_level_pct",
+        "40 + 0.9D * k AS fuel_burn_rate",
+        "IF(user_id % 3 = 0, 180 + 0.2D * value, NULL) AS payload_tonnes",
+        "IF(user_id % 3 = 1, 90 + 0.5D * value, NULL) AS drill_rpm",
+        "IF(user_id % 3 = 2, 300 + value, NULL) AS dig_force_kn",
+        "0.5D * k AS speed_kmh",
+        "-22.3D + 0.001D * k AS latitude",
+        "118.5D + 0.001D * k AS longitude",
+        """CASE event_type WHEN 'view' THEN 'operating' WHEN 'click' THEN 'operating'
+           WHEN 'signup' THEN 'idle' WHEN 'purchase' THEN 'maintenance'
+           WHEN 'error' THEN 'fault' END AS status""",
+        "CAST((event_id * 7 + user_id) % 600 AS DOUBLE) AS hours_since_service",
+        "IF(event_type = 'error', CONCAT('F', 100 + user_id % 900), NULL) AS fault_code",
     )
 
 
