@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from rigpulse.functions.time import bounded, trailing
 from rigpulse.schemas import HISTORY_COLUMNS, LATEST_COLUMNS
+from rigpulse.session import scratch_dir
+
+# monotonically_increasing_id keeps the partition number above the row number's 33 bits.
+POSITION_BITS = 33
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -71,46 +75,35 @@ def numbered(
     key: str = "equipment_id",
     order: str = "recorded_at",
     tie: str = "event_id",
-    bucket: str = "hour",
 ) -> DataFrame:
-    """Add ``ordinal``: 1, 2, 3 ... per key in (order, tie) order.
-
-    A plain window would sort all rows of a key in one task. Here rows are ranked inside time
-    buckets, and each bucket starts after the row count of the earlier ones. Those counts are
-    added up per day and inside the day, so no task sees more than the buckets of one day or the
-    days of one key, whatever the row count.
+    """Add ``ordinal``: 1, 2, 3 ... per key in (order, tie) order, also for a key with most rows.
+
+    A window would sort all rows of a key in one task. Here the rows are range-partitioned and
+    sorted on (key, order, tie), so a hot key spans many even partitions, and take their position
+    from that layout. The layout is written once, because both the row counts and the rows must
+    see the same one. A key's rows in a partition are consecutive: their ordinal is the distance
+    to the first of them plus the key's rows in earlier partitions. Rows without a key are left
+    out.
     """
-    rows = readings.withColumn("_day", F.to_date(order)).withColumn(
-        "_bucket", F.date_trunc(bucket, order)
-    )
-    per_bucket = rows.groupBy(key, "_day", "_bucket").agg(F.count("*").alias("_n"))
-    per_day = per_bucket.groupBy(key, "_day").agg(F.sum("_n").alias("_day_n"))
-
-    def before(order_by: str, *partition: str) -> Window:
-        return (
-            Window.partitionBy(*partition)
-            .orderBy(order_by)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-
-    day_start = per_day.select(
-        key, "_day", F.coalesce(F.sum("_day_n").over(before("_day", key)), F.lit(0)).alias("_d0")
-    )
-    bucket_start = per_bucket.select(
-        key,
-        "_day",
-        "_bucket",
-        F.coalesce(F.sum("_n").over(before("_bucket", key, "_day")), F.lit(0)).alias("_b0"),
+    laid_out = scratch_dir(readings.sparkSession, "numbered")
+    position = F.monotonically_increasing_id()
+    (
+        readings.repartitionByRange(key, order, tie)
+        .sortWithinPartitions(key, order, tie)
+        .withColumn("_position", position)
+        .withColumn("_part", F.shiftright("_position", POSITION_BITS))
+        .write.parquet(laid_out)
     )
-    starts = bucket_start.join(day_start, [key, "_day"]).select(
-        key, "_bucket", (F.col("_d0") + F.col("_b0")).alias("_start")
+    rows = readings.sparkSession.read.parquet(laid_out)
+    runs = rows.groupBy(key, "_part").agg(
+        F.count("*").alias("_n"), F.min("_position").alias("_first")
     )
-    inside = Window.partitionBy(key, "_bucket").orderBy(order, tie)
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     return (
-        rows.withColumn("_rank", F.row_number().over(inside))
-        .join(starts, [key, "_bucket"])
-        .withColumn("ordinal", F.col("_start") + F.col("_rank"))
-        .drop("_day", "_bucket", "_rank", "_start")
+        rows.join(starts.drop("_n"), [key, "_part"])
+        .withColumn("ordinal", F.col("_position") - F.col("_first") + F.col("_before") + 1)
+        .drop("_part", "_position", "_first", "_before")
     )
 
 

@@ -438,12 +438,9 @@ def service_report(w):
 
 @_query
 def parts_replaced(w):
-    parts = w.table("lineitem").select(
-        WH.log_id(F.col("l_orderkey")).alias("log_id"),
-        F.col("l_partkey").cast("string").alias("part"),
-    )
-    logs = w.maintenance_logs().select("log_id", "equipment_id", "service_date")
-    return portable(M.parts_by_log(logs, parts))
+    parts = w.table("lineitem").selectExpr("l_orderkey AS o_orderkey", "CAST(l_partkey AS STRING) AS part")
+    listed = M.parts_by_log(w.maintenance_logs(keep=["o_orderkey"]), parts, "o_orderkey")
+    return portable(listed.select("log_id", "equipment_id", "service_date", "parts_replaced"))
 
 
 # Quality

@@ -5,7 +5,9 @@ Each method returns a lazy frame, so a query scans only the tables and columns i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,10 +94,11 @@ class Warehouse:
             self.readings(), self.equipment(), self.unplaced_alerts(), FIRST_DAY, LAST_DAY
         )
 
-    def maintenance_logs(self) -> DataFrame:
+    def maintenance_logs(self, keep: Sequence[str] = ()) -> DataFrame:
         """Service log: orders spread over the thirty days that end on the day of AS_OF."""
         return self.table("orders").select(
-            log_id(F.col("o_orderkey")).alias("log_id"),
+            *keep,
+            hash_id(F.lit("log"), "o_orderkey").alias("log_id"),
             F.col("o_custkey").cast("string").alias("equipment_id"),
             F.date_sub(F.to_date(F.lit(AS_OF)), (F.col("o_orderkey") % 30).cast("int")).alias(
                 "service_date"
@@ -105,10 +108,6 @@ class Warehouse:
         )
 
 
-def log_id(order_key: Column) -> Column:
-    return hash_id(F.lit("log"), order_key)
-
-
 def readings_from_events(events: DataFrame) -> DataFrame:
     parsed = events.selectExpr(
         "event_id",

@@ -100,10 +100,21 @@ def _random_events(spark, n, seed, machines=("hot", "hot", "hot", "m1", "m2"), s
     )
 
 
-def test_ordinals_equal_a_plain_count(spark):
+@pytest.mark.parametrize("partitions", ["1", "13"])
+def test_ordinals_equal_a_plain_count(spark, partitions):
     frame = _random_events(spark, 400, 1).withColumnRenamed("timestamp", "recorded_at")
-    numbered = L.numbered(frame).select("equipment_id", "recorded_at", "event_id", "ordinal")
-    found = {r.event_id: r.ordinal for r in numbered.collect()}
+    settings = {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = {r.event_id: r.ordinal for r in L.numbered(frame).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     expected, seen = {}, {}
     for r in sorted(frame.collect(), key=lambda r: (r.equipment_id, r.recorded_at, r.event_id)):
         seen[r.equipment_id] = seen.get(r.equipment_id, 0) + 1
