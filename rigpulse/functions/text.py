@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def hash_id(*keys: Column | str) -> Column:
-    """Identifier that is the same for the same key on every run. A null part counts as empty text."""
+    """Identifier that is the same for the same key on every run; nulls count as empty text."""
     columns = [F.col(k) if isinstance(k, str) else k for k in keys]
     parts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
     return F.sha2(F.concat_ws("#", *parts), 256)
@@ -79,4 +79,5 @@ def month_from_name(name: Column) -> Column:
     """First day of the month a name ends in; null when it does not end in a valid month."""
     year = F.regexp_extract(name, r"_(\d{4})_(\d{1,2})$", 1)
     month = F.regexp_extract(name, r"_(\d{4})_(\d{1,2})$", 2)
-    return F.try_to_date(F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-01")), "yyyy-MM-dd")
+    first = F.concat(year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-01"))
+    return F.try_to_date(first, "yyyy-MM-dd")

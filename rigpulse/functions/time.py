@@ -54,11 +54,6 @@ def with_date_parts(column: Column) -> dict[str, Column]:
     return {"year": F.year(column), "month": F.month(column), "day": F.dayofmonth(column)}
 
 
-def local_date(column: Column, tz: str | None = None) -> Column:
-    """Calendar day of the session zone, or of another zone for a session in UTC."""
-    return F.to_date(F.from_utc_timestamp(column, tz) if tz else column)
-
-
 def month_start(column: Column) -> Column:
     return F.trunc(F.to_date(column), "month")
 

@@ -82,7 +82,10 @@ def _damaged(w) -> DataFrame:
     broken = (
         F.when(kind == "fault", F.lit("no json at all"))
         .when(kind == "idle", F.regexp_replace(text, '"site_id":"[^"]*"', '"site_id":null'))
-        .when(kind == "maintenance", F.regexp_replace(text, '"engine_rpm":[^,]*', '"engine_rpm":"fast"'))
+        .when(
+            kind == "maintenance",
+            F.regexp_replace(text, '"engine_rpm":[^,]*', '"engine_rpm":"fast"'),
+        )
         .otherwise(text)
     )
     keyed = D.encode(w.events(), key="event_id")
@@ -105,7 +108,7 @@ def _alert_messages(w) -> DataFrame:
 def topic_routing(w):
     sensors, alerts = D.route(w.messages().unionByName(_alert_messages(w)))
     sides = [
-        side.groupBy("equipment_id").agg(F.count("*").alias("rows")).withColumn("topic", F.lit(topic))
+        side.groupBy("equipment_id", F.lit(topic).alias("topic")).agg(F.count("*").alias("rows"))
         for side, topic in ((sensors, TOPIC_SENSOR), (alerts, TOPIC_ALERTS))
     ]
     return sides[0].unionByName(sides[1])
@@ -230,7 +233,8 @@ def equipment_latest(w):
 
 @_query
 def equipment_latest_filtered(w):
-    return portable(P.equipment_latest(w.readings(), w.equipment(), site_id=SITE, status="operating"))
+    rows = P.equipment_latest(w.readings(), w.equipment(), site_id=SITE, status="operating")
+    return portable(rows)
 
 
 @_query
@@ -438,7 +442,9 @@ def service_report(w):
 
 @_query
 def parts_replaced(w):
-    parts = w.table("lineitem").selectExpr("l_orderkey AS o_orderkey", "CAST(l_partkey AS STRING) AS part")
+    parts = w.table("lineitem").selectExpr(
+        "l_orderkey AS o_orderkey", "CAST(l_partkey AS STRING) AS part"
+    )
     listed = M.parts_by_log(w.maintenance_logs(keep=["o_orderkey"]), parts, "o_orderkey")
     return portable(listed.select("log_id", "equipment_id", "service_date", "parts_replaced"))
 

@@ -1,6 +1,7 @@
 """The scheduled jobs: gates, writes and checks in order. Each may be run again for the same day.
 
-    spark-submit --py-files ... -m rigpulse.plans.jobs daily-kpi --root s3a://bucket/fleet --as-of ...
+    spark-submit --py-files rigpulse.zip rigpulse/plans/jobs.py daily-kpi \\
+        --root s3a://bucket/fleet --as-of "2025-01-02 00:00:00"
 """
 
 from __future__ import annotations
@@ -91,7 +92,9 @@ def run_retention(
     return retention.retention_plan(readings, as_of, days=days)
 
 
-def fleet_tables(spark: SparkSession, root: str, day: date | None = None) -> Mapping[str, DataFrame]:
+def fleet_tables(
+    spark: SparkSession, root: str, day: date | None = None
+) -> Mapping[str, DataFrame]:
     """The stored tables under a folder, as the streaming job lays them out; with a day, the two
     fact tables are narrowed to it by folder."""
     start = datetime.combine(day, datetime.min.time()) if day else None
@@ -108,7 +111,8 @@ def fleet_tables(spark: SparkSession, root: str, day: date | None = None) -> Map
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Fleet telemetry jobs")
-    parser.add_argument("job", choices=["daily-kpi", "maintenance", "health", "retention", "stream"])
+    names = ["daily-kpi", "maintenance", "health", "retention", "stream"]
+    parser.add_argument("job", choices=names)
     parser.add_argument("--root", required=True, help="folder of the stored tables")
     parser.add_argument("--as-of", help="the moment taken for now, YYYY-MM-DD HH:MM:SS in UTC")
     parser.add_argument("--servers", help="Kafka bootstrap servers, for the stream")

@@ -56,15 +56,21 @@ def append_jdbc(
     df.write.jdbc(url, table, mode="append", properties=options)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str], cluster: Sequence[str] = ()
+) -> None:
     """Replace exactly the partitions the frame has rows for.
 
     The rebalance hint gathers each partition's rows into few files and still lets adaptive
-    execution split a partition that is too large for one task.
+    execution split a partition that is too large for one task. Rows are sorted by ``cluster``
+    inside each file, so that a filter on it skips row groups; the sort starts with the partition
+    columns, which the writer needs sorted anyway.
     """
+    spread = df.hint("rebalance", *partitions)
+    if cluster:
+        spread = spread.sortWithinPartitions(*partitions, *cluster)
     (
-        df.hint("rebalance", *partitions)
-        .write.mode("overwrite")
+        spread.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -80,7 +86,7 @@ def write_archive(events: DataFrame, root: str, batch_id: int) -> None:
     """Add events to the archive by site and day; the same batch written again replaces itself."""
     parts = with_date_parts(F.col("timestamp"))
     dated = events.withColumns({**parts, "batch_id": F.lit(batch_id).cast("bigint")})
-    overwrite_partitions(dated, root, ARCHIVE_PARTITIONS)
+    overwrite_partitions(dated, root, ARCHIVE_PARTITIONS, ["equipment_id"])
 
 
 def write_dated(df: DataFrame, path: str, column: str, batch_id: int) -> None:
@@ -89,7 +95,7 @@ def write_dated(df: DataFrame, path: str, column: str, batch_id: int) -> None:
     dated = df.withColumns(
         {DAY_PARTITION: F.to_date(column), "batch_id": F.lit(batch_id).cast("bigint")}
     )
-    overwrite_partitions(dated, path, [DAY_PARTITION, "batch_id"])
+    overwrite_partitions(dated, path, [DAY_PARTITION, "batch_id"], ["equipment_id", column])
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:

@@ -122,8 +122,8 @@ def latest_query(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = stored_readings(batch)
         if batch_id > 0:
-            before = batch.sparkSession.read.schema(SENSOR_READINGS).parquet(_slot(root, batch_id - 1))
-            rows = rows.unionByName(before)
+            reader = batch.sparkSession.read.schema(SENSOR_READINGS)
+            rows = rows.unionByName(reader.parquet(_slot(root, batch_id - 1)))
         latest_per_key(rows).write.mode("overwrite").parquet(_slot(root, batch_id))
 
     return _start(decode(messages), write, checkpoint, trigger)
@@ -188,7 +188,11 @@ def append_query(
     stream: DataFrame, path: str, checkpoint: str, trigger: Trigger = Trigger(LIVE_TRIGGER)
 ) -> StreamingQuery:
     """Any append stream into a table by batch."""
-    return _start(stream, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint, trigger)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, batch_id)
+
+    return _start(stream, write, checkpoint, trigger)
 
 
 def routed_query(

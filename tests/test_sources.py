@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from rigpulse.operators.enrich import enrich
@@ -141,6 +142,29 @@ def test_defaults_fill_nulls_and_missing_columns(spark):
     assert rows(filled) == [("a", "Sydney", True), ("b", "Perth", True)]
 
 
+def test_jdbc_reads_are_split(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        DataFrameReader, "jdbc", lambda self, *args, **kwargs: seen.append((args, kwargs))
+    )
+    T.jdbc_by_time(spark, "u", "r", "at", datetime(2024, 1, 1), datetime(2024, 1, 2), 2, {"user": "x"})
+    split = dict(column="id", lowerBound=0, upperBound=9, numPartitions=3)
+    T.jdbc_whole(spark, "u", "e", {"user": "x"}, **split)
+    assert seen == [
+        (
+            ("u", "r"),
+            {
+                "predicates": [
+                    "at >= '2024-01-01 00:00:00' AND at < '2024-01-01 12:00:00'",
+                    "at >= '2024-01-01 12:00:00' AND at < '2024-01-02 00:00:00'",
+                ],
+                "properties": {"user": "x"},
+            },
+        ),
+        (("u", "e"), {"properties": {"user": "x"}, **split}),
+    ]
+
+
 def test_kafka_options():
     options = kafka_options("broker:9092", ["a", "b"], min_partitions=64)
     assert options == {

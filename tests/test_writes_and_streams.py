@@ -2,19 +2,28 @@
 
 from datetime import datetime, timedelta
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from rigpulse.operators import alerts as A
 from rigpulse.operators import windows as W
 from rigpulse.operators.enrich import enrich, with_site
-from rigpulse.schemas import ALERTS, SENSOR_READINGS, TOPIC_ALERTS, TOPIC_SENSOR
+from rigpulse.operators.latest import status_feed
+from rigpulse.schemas import (
+    ALERTS,
+    SENSOR_READINGS,
+    STATUS_EVENT,
+    TOPIC_ALERTS,
+    TOPIC_SENSOR,
+    TOPIC_STATUS,
+)
 from rigpulse.session import scratch_dir
 from rigpulse.sinks import tables as S
 from rigpulse.sources import decode as D
 from rigpulse.sources import streams, tables
 from rigpulse.streaming import jobs as J
 from rigpulse.streaming.progress import progress_frame
-from tests.helpers import events, plan, readings, rows, sites
+from tests.helpers import equipment, events, plan, readings, rows, sites
 
 T0 = datetime(2025, 1, 1)
 
@@ -243,6 +252,36 @@ def test_two_topics_in_one_query(spark):
     assert rows(spark.read.parquet(f"{out}/alerts"), "alert_type") == [("HIGH_ENGINE_TEMP",)]
 
 
+def test_status_feed_as_messages(spark):
+    fleet = equipment(spark, ("m1", "s1", "haul_truck", 250, True))
+    beats = status_feed(readings(spark, *[{"timestamp": at(minutes=i)} for i in range(10)]), fleet)
+    sent = D.encode(beats, topic=TOPIC_STATUS, schema=STATUS_EVENT)
+    assert rows(sent.select("key", "topic", F.col("value").cast("string"))) == [
+        (
+            "m1",
+            "equipment-status",
+            '{"equipment_id":"m1","site_id":"s1","status":"operating",'
+            '"timestamp":"2025-01-01T00:09:00.000000Z"}',
+        )
+    ]
+
+
+def test_jdbc_appends_in_pages(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(
+        DataFrameWriter, "jdbc", lambda self, *args, **kwargs: seen.append((args, kwargs))
+    )
+    S.append_jdbc(readings(spark, {}), "u", "daily_kpi", {"user": "x"}, S.KPI_PAGE)
+    options = {"user": "x", "batchsize": "100"}
+    assert seen == [(("u", "daily_kpi"), {"mode": "append", "properties": options})]
+
+
+def test_windows_on_the_console(spark):
+    feed = Feed(spark)
+    _send(feed, {})
+    J.drain(J.window_console(feed.stream(), f"{feed.root}/c", J.DRAIN))
+
+
 def test_triggers():
     assert J.Trigger("10 seconds").options() == {"processingTime": "10 seconds"}
     assert J.DRAIN.options() == {"availableNow": True}
