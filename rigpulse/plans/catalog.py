@@ -336,6 +336,11 @@ def kpi_history_filtered(w):
     return portable(rows)
 
 
+@_query
+def kpi_history_response(w):
+    return portable(P.daily_kpi_response(w.daily_kpi(), WH.AS_OF, days=3))
+
+
 @_query
 def kpi_history_site(w):
     return portable(P.daily_kpis(w.daily_kpi(), WH.AS_OF, days=14, site_id=SITE))
@@ -499,9 +504,7 @@ def column_checks(w):
 
 
 def _order_history(w) -> DataFrame:
-    return w.table("orders").select(
-        "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("recorded_at")
-    )
+    return w.table("orders").select("o_orderkey", F.col("o_orderdate").alias("recorded_at"))
 
 
 @_query

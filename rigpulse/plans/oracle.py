@@ -604,6 +604,13 @@ def all_oracles() -> dict[str, str]:
         "SELECT * FROM kpi_rows WHERE kpi_date >= DATE '2024-01-01' AND equipment_id = '7'",
         "kpi_rows",
     )
+    q["kpi_history_response"] = _with(
+        """SELECT equipment_id, site_id, kpi_date, avg_engine_temp_c, max_engine_temp_c,
+                  avg_vibration_mm_s, total_fuel_litres, operating_hours, uptime_pct, alert_count,
+                  critical_alert_count
+           FROM kpi_rows WHERE kpi_date >= DATE '2024-01-28'""",
+        "kpi_rows",
+    )
     q["kpi_history_site"] = _with(
         "SELECT * FROM kpi_rows WHERE kpi_date >= DATE '2024-01-17' AND site_id = '3'", "kpi_rows"
     )

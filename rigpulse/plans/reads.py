@@ -16,6 +16,21 @@ from rigpulse.operators import latest as L
 OPEN_ALERT_LIMIT = 100
 PANEL_ALERT_LIMIT = 50
 
+# Columns of the KPI response.
+KPI_RESPONSE = (
+    "equipment_id",
+    "site_id",
+    "kpi_date",
+    "avg_engine_temp_c",
+    "max_engine_temp_c",
+    "avg_vibration_mm_s",
+    "total_fuel_litres",
+    "operating_hours",
+    "uptime_pct",
+    "alert_count",
+    "critical_alert_count",
+)
+
 
 def where_equal(df: DataFrame, **filters: str | None) -> DataFrame:
     """Keep rows equal to every filter that is given."""
@@ -82,6 +97,11 @@ def daily_kpis(
     return wanted.orderBy(F.col("kpi_date").desc(), "equipment_id")
 
 
+def daily_kpi_response(kpis: DataFrame, as_of: str, days: int = 7, **filters) -> DataFrame:
+    """The same rows with the columns the KPI cards show."""
+    return daily_kpis(kpis, as_of, days, **filters).select(*KPI_RESPONSE)
+
+
 def ingest_stats(
     readings: DataFrame, equipment: DataFrame, alerts: DataFrame, as_of: str
 ) -> DataFrame:

@@ -23,10 +23,25 @@ RUNTIME_CONF = {
 START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+# Shuffles on a cluster start with this many partitions per core, within these bounds; adaptive
+# execution merges those that turn out small. The default of 200 would never be raised.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITIONS_PER_CORE = 4
+MIN_PARTITIONS, MAX_PARTITIONS = 2_000, 40_000
+
+
+def initial_partitions(cores: int) -> int:
+    return min(max(cores * PARTITIONS_PER_CORE, MIN_PARTITIONS), MAX_PARTITIONS)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session; an own partition number is kept."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    local = spark.sparkContext.master.startswith("local")
+    if not local and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(INITIAL_PARTITIONS, str(initial_partitions(cores)))
     return spark
 
 
@@ -35,7 +50,7 @@ def build_session(app_name: str, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

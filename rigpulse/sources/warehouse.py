@@ -29,6 +29,19 @@ KPI_DAY = "2024-01-10"
 _SCHEMAS: dict[str, T.StructType] = {}
 
 
+def _zoned(schema: T.StructType) -> T.StructType:
+    """Times without zone read as instants of the session zone, UTC. A cast of the column would
+    do the same but keep time filters away from the scan."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.TimestampType())
+            if isinstance(f.dataType, T.TimestampNTZType)
+            else f
+            for f in schema.fields
+        ]
+    )
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = configure(spark)
@@ -37,7 +50,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         path = f"{self.root}/{name}.parquet"
         if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            _SCHEMAS[path] = _zoned(self.spark.read.parquet(path).schema)
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def readings(self) -> DataFrame:
@@ -114,7 +127,7 @@ def readings_from_events(events: DataFrame) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        "CAST(ts AS TIMESTAMP) AS recorded_at",
+        "ts AS recorded_at",
         "CAST(get_json_object(props, '$.k') AS DOUBLE) AS k",
     )
     return parsed.selectExpr(

@@ -11,7 +11,7 @@ from rigpulse.operators.enrich import enrich
 from rigpulse.operators.quality import GateFailed
 from rigpulse.operators.windows import sliding_stats_by_pane
 from rigpulse.plans import jobs
-from rigpulse.session import RUNTIME_CONF, scratch_dir
+from rigpulse.session import RUNTIME_CONF, initial_partitions, scratch_dir
 from rigpulse.sinks.tables import to_schema
 from rigpulse.sources import decode as D
 from rigpulse.streaming import jobs as J
@@ -104,6 +104,10 @@ def test_kpi_job_from_streamed_tables(spark):
     assert report["row_count"] == 150
 
 
+def test_partitions_grow_with_the_cluster():
+    assert [initial_partitions(n) for n in (8, 4_000, 100_000)] == [2_000, 16_000, 40_000]
+
+
 def test_windows_with_the_large_state_store(spark):
     root = scratch_dir(spark, "rocksdb")
     D.encode(events(spark, {}, {"timestamp": T0 + timedelta(minutes=2)})).write.parquet(f"{root}/in")

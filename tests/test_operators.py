@@ -201,6 +201,7 @@ def test_kpi_history_is_inclusive(spark):
     kpis = spark.createDataFrame(days, "equipment_id string, site_id string, kpi_date date")
     assert P.daily_kpis(kpis, "2025-01-10", days=7).count() == 8
     assert P.daily_kpis(kpis, "2025-01-10", days=7, equipment_id="m3").count() == 1
+    assert P.daily_kpis(kpis, "2025-01-10", days=7, site_id="s9").count() == 0
     with pytest.raises(ValueError):
         P.daily_kpis(kpis, "2025-01-10", days=91)
 
