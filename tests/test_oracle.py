@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from rigpulse.plans.catalog import all_queries as queries
+from rigpulse.plans.oracle import all_oracles as oracle_sql
 from tests.helpers import plan
 from tests.oracle_check import connect, differences
 
