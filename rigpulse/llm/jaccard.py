@@ -14,8 +14,9 @@ costs its square:
 1. every class is compared with the first of its cell only; links found are contracted;
 2. cells that still hold several components are searched by an R-tree over their points, boxes of
    one component being skipped against themselves. Large cells are dealt out in pairs of blocks.
+   A pair then has to meet in as many cells as its sizes ask for.
 
-In both steps pairs that survive the bound are verified on their whole sets. Links between
+In both steps pairs that survive the bounds are verified on their whole sets. Links between
 classes of one component are not needed for the components and are not listed.
 
 Null or empty text, or one without words: an empty set, linked with nothing. A null id cannot
@@ -225,30 +226,93 @@ def search(x: Tree, y: Tree, percent: int = PERCENT, step: int = 4096) -> Iterat
 PAIR = "a long, b long"
 
 
+def _leaf_pairs(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs inside runs of at most LEAF rows, each run a tree of one leaf."""
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for m in range(2, LEAF + 1):
+        a, b = np.triu_indices(m, 1)
+        at = first[count == m][:, None]
+        i.append((at + a).ravel())
+        j.append((at + b).ravel())
+    return np.concatenate(i), np.concatenate(j)
+
+
+def _cell_pairs(key, label, side, x, y, cell, p) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Surviving pairs of whole (cell, x, y) tasks that lie one after another."""
+    new = np.ones(len(cell), bool)
+    new[1:] = (cell[1:] != cell[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(cell)))
+    size = p.sum(axis=1, dtype=np.int64)
+    small = (count <= LEAF) & (x[first] == y[first])
+    i, j = _leaf_pairs(first[small], count[small])
+    ok = (label[i] != label[j]) & (100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j]))
+    i, j = i[ok], j[ok]
+    for at in range(0, len(i), 1 << 15):
+        a, b = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+        near = linked(bound(p[a], p[b]), size[a], size[b])
+        yield a[near], b[near]
+    for at, n in zip(first[~small], count[~small], strict=True):
+        rows = np.arange(at, at + n)
+        same = x[at] == y[at]
+        ia, ib = rows[side[rows] == 0], rows[side[rows] == 1]
+        if not len(ia) or not (same or len(ib)):
+            continue
+        tx = Tree(p[ia], label[ia])
+        ty = tx if same else Tree(p[ib], label[ib])
+        for a, b in search(tx, ty):
+            a, b = ia[a], (ia if same else ib)[b]
+            # A tree against itself meets every pair twice.
+            yield (a[a < b], b[a < b]) if same else (a, b)
+
+
 def _searched(rows: DataFrame) -> DataFrame:
-    """Surviving pairs of each (cell, x, y) task; rows: cell, x, y, side, key, label, point."""
+    """(a, b, met): surviving pairs of different components and how many cells they meet in."""
+    names = ("key", "label", "side", "x", "y")
 
-    def run(table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        key = table["key"].to_numpy()
-        label = table["label"].to_numpy()
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        columns = [table[n].to_numpy() for n in names]
+        key = columns[0]
         p = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
-        ia, ib = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        same = table["x"][0] == table["y"][0]
-        if not len(ia) or not (same or len(ib)):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        x = Tree(p[ia], label[ia])
-        y = x if same else Tree(p[ib], label[ib])
-        a, b = [], []
-        for i, j in search(x, y):
-            ka, kb = key[ia[i]], key[(ia if same else ib)[j]]
-            keep = ka < kb if same else ka != kb
-            a.append(np.minimum(ka, kb)[keep])
-            b.append(np.maximum(ka, kb)[keep])
-        empty = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])})
+        for i, j in _cell_pairs(*columns, table["cell"].to_numpy(), p):
+            if len(i):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))],
+                    ["a", "b"],
+                )
 
-    return rows.groupBy("cell", "x", "y").applyInArrow(run, PAIR)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell = batch["cell"].to_numpy()
+            last = int(np.searchsorted(cell, cell[-1], "left"))
+            # All but the last cell is complete; that one may go on in the next batch.
+            if last:
+                yield from work(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    tasks = rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
+    found = tasks.select("cell", *names, "point").mapInArrow(run, PAIR)
+    return found.groupBy("a", "b").agg(F.count("*").alias("met"))
+
+
+def _enough_met(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that meet in enough cells to be able to link.
+
+    Of two sets, take the one whose prefix ends first in the common order: what they share lies in
+    cells of both, or behind that prefix. So the overlap is at most the cells met plus the longer
+    of the two rests.
+    """
+    side = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"))
+    rest = lambda n: F.ceil(F.col(n) * PERCENT / 100) - 1
+    most = F.col("met") + F.greatest(rest("na"), rest("nb"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    return met.where(100 * most >= PERCENT * (F.col("na") + F.col("nb") - most)).select("a", "b")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -369,7 +433,7 @@ def classified(docs: DataFrame) -> DataFrame:
         F.min("label").alias("_least"), F.max("label").alias("_most"), F.count("*").alias("_m")
     ).where((F.col("_least") != F.col("_most")) & (F.col("_m") > 2)).select("cell")
     open_ = labelled.join(several, "cell", "left_semi").join(classes.select("key", "point"), "key")
-    more = _searched(_tasks(open_)).distinct()
+    more = _enough_met(_searched(_tasks(open_)), classes)
     later = saved(_verified(more, texts), "links")
     found = components(links.unionAll(later))
     keyed = found.select(F.col("node").alias("key"), F.col("component").alias("component_key"))
