@@ -94,7 +94,8 @@ def _texts(part: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray]]:
         yield doc, data[offsets[i] : offsets[i + 1]]
 
 
-CHUNKED = "doc_id long, text_key long, ztext binary"
+# Never null, so that every join of these rows shuffles them alike and Spark shuffles them once.
+CHUNKED = "doc_id long, text_key long NOT NULL, ztext binary NOT NULL"
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -120,14 +121,17 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def compressed(docs: DataFrame) -> DataFrame:
     """Every document with its text compressed and the hash of its text."""
+    kinds = pa.schema(
+        [pa.field("doc_id", pa.int64()), pa.field("text_key", pa.int64(), False),
+         pa.field("ztext", pa.binary(), False)]
+    )
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
         rows = [(doc, _key(w := d.tobytes()), squeeze.compress(w)) for doc, d in _texts(part)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], kind)
-             for i, kind in enumerate((pa.int64(), pa.int64(), pa.binary()))],
-            ["doc_id", "text_key", "ztext"],
+            [pa.array([r[i] for r in rows], kind.type) for i, kind in enumerate(kinds)],
+            schema=kinds,
         )
 
     return docs.select("doc_id", "text").mapInArrow(sliced(work), CHUNKED)
@@ -158,7 +162,7 @@ def encoded_once(owned: DataFrame, path: str) -> DataFrame:
             [pa.array(made.keys(), pa.int64()), pa.array(made.values(), pa.binary())], ["key", "ids"]
         )
 
-    return owned.select("ztext", "keys").mapInArrow(sliced(work, "ztext"), "key long, ids binary")
+    return owned.select("doc_id", "ztext", "keys").mapInArrow(sliced(work, "ztext"), "key long, ids binary")
 
 
 def assembled(text: bytes, shared: dict[int, bytes], encoder: bpe.Bpe) -> list[int]:
