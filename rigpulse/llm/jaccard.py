@@ -11,7 +11,8 @@ occurs, rarest first, so frequent passages make no cells. A cell is one such shi
 classes that hold it. Work in the cells goes in two steps, so that a group of near copies never
 costs its square:
 
-1. every class is compared with the first of its cell only; links found are contracted;
+1. every class is compared with one of its cell only, the one that shares most of its prefix (the
+   source of a group of edited copies); links found are contracted;
 2. cells that still hold several components are searched by an R-tree over their points, boxes of
    one component being skipped against themselves. Large cells are dealt out in pairs of blocks.
    A pair then has to meet in as many cells as its sizes ask for.
@@ -267,18 +268,20 @@ def _cell_pairs(key, label, side, x, y, cell, p) -> Iterator[tuple[np.ndarray, n
 
 
 def _searched(rows: DataFrame) -> DataFrame:
-    """(a, b, met): surviving pairs of different components and how many cells they meet in."""
+    """(a, b, na, nb, met): surviving pairs of different components, and in how many cells."""
     names = ("key", "label", "side", "x", "y")
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         columns = [table[n].to_numpy() for n in names]
         key = columns[0]
         p = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
+        size = p.sum(axis=1, dtype=np.int64)
         for i, j in _cell_pairs(*columns, table["cell"].to_numpy(), p):
             if len(i):
+                swap = key[i] > key[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))],
-                    ["a", "b"],
+                    [pa.array(v) for v in (key[i], key[j], size[i], size[j])], ["a", "b", "na", "nb"]
                 )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,22 +300,21 @@ def _searched(rows: DataFrame) -> DataFrame:
             yield from work(pa.Table.from_batches(held))
 
     tasks = rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
-    found = tasks.select("cell", *names, "point").mapInArrow(run, PAIR)
-    return found.groupBy("a", "b").agg(F.count("*").alias("met"))
+    found = tasks.select("cell", *names, "point").mapInArrow(run, f"{PAIR}, na long, nb long")
+    return found.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
 
 
-def _enough_met(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _enough_met(pairs: DataFrame) -> DataFrame:
     """The pairs that meet in enough cells to be able to link.
 
     Of two sets, take the one whose prefix ends first in the common order: what they share lies in
     cells of both, or behind that prefix. So the overlap is at most the cells met plus the longer
     of the two rests.
     """
-    side = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"))
     rest = lambda n: F.ceil(F.col(n) * PERCENT / 100) - 1
     most = F.col("met") + F.greatest(rest("na"), rest("nb"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
-    return met.where(100 * most >= PERCENT * (F.col("na") + F.col("nb") - most)).select("a", "b")
+    enough = 100 * most >= PERCENT * (F.col("na") + F.col("nb") - most)
+    return pairs.where(enough).select("a", "b")
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -407,23 +409,31 @@ def classified(docs: DataFrame) -> DataFrame:
     classes = rows.where(F.col("n") > 0).groupBy("key").agg(
         F.max("n").alias("n"), F.max("point").alias("point"), F.min("doc_id").alias("member")
     )
-    # One exchange by cell: cells of one class vanish, the others keep their first class.
-    entered = cells(docs, frequencies(made))
+    # One exchange by cell: cells of one class vanish.
     in_cell = Window.partitionBy("cell")
     shared = saved(
-        entered.withColumns(
-            {"first": F.min("key").over(in_cell), "last": F.max("key").over(in_cell)}
-        ).where(F.col("first") != F.col("last")).select("cell", "key", "first").distinct(),
+        cells(docs, frequencies(made))
+        .withColumns({"_low": F.min("key").over(in_cell), "_high": F.max("key").over(in_cell)})
+        .where(F.col("_low") != F.col("_high")).select("cell", "key").distinct(),
         "cells",
     )
-    active = shared.select("key").distinct()
-    classes = saved(classes.join(active, "key", "left_semi"), "classes")
+    # How much of its prefix a class shares: the source of a group of edited copies shares most.
+    weight = shared.groupBy("key").agg(F.count("*").alias("w"))
+    classes = classes.join(weight, "key").withColumn(
+        "w", F.floor(F.col("w") * 1000 / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1))
+    )
+    classes = saved(classes, "classes")
     texts = saved(_member_texts(docs, classes.select("key", "member")), "texts")
 
-    # Step 1: each class against the first of its cells.
-    stars = shared.where(F.col("key") != F.col("first")).select(
-        F.col("first").alias("a"), F.col("key").alias("b")
-    ).distinct()
+    # Step 1: each class against the one of its cell that shares most.
+    pivots = (
+        shared.join(classes.select("key", "w"), "key").groupBy("cell")
+        .agg(F.max(F.struct("w", "key"))["key"].alias("pivot"))
+    )
+    stars = (
+        shared.join(pivots, "cell").where(F.col("key") != F.col("pivot"))
+        .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+    )
     links = saved(_verified(_bounded(stars, classes), texts), "links")
     found = components(links)
 
@@ -433,7 +443,7 @@ def classified(docs: DataFrame) -> DataFrame:
         F.min("label").alias("_least"), F.max("label").alias("_most"), F.count("*").alias("_m")
     ).where((F.col("_least") != F.col("_most")) & (F.col("_m") > 2)).select("cell")
     open_ = labelled.join(several, "cell", "left_semi").join(classes.select("key", "point"), "key")
-    more = _enough_met(_searched(_tasks(open_)), classes)
+    more = _enough_met(_searched(_tasks(open_)))
     later = saved(_verified(more, texts), "links")
     found = components(links.unionAll(later))
     keyed = found.select(F.col("node").alias("key"), F.col("component").alias("component_key"))
