@@ -369,18 +369,31 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _member_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     """(key, ztext) of one document of each class; members: key, member."""
 
+    def squeezed(part: pa.RecordBatch) -> pa.RecordBatch:
+        squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        z = [squeeze.compress((t or "").encode()) for t in part["text"].to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [part["doc_id"], pa.array(z, pa.binary())], ["doc_id", "ztext"]
+        )
+
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         # Rows that share an id may differ in text: only the one whose set is meant counts.
-        h, t = shingles(part.column("text"), SIZE)
+        squeeze = zstandard.ZstdDecompressor()
+        texts = [squeeze.decompress(z).decode() for z in part["ztext"].to_pylist()]
+        h, t = shingles(pa.array(texts, pa.string()), SIZE)
         meant = pa.array(set_keys(h, t, part.num_rows) == part["key"].to_numpy())
-        squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
-        z = [squeeze.compress(x.encode()) for x in part["text"].filter(meant).to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [part["key"].filter(meant), pa.array(z, pa.binary())], ["key", "ztext"]
+            [part["key"].filter(meant), part["ztext"].filter(meant)], ["key", "ztext"]
         )
 
-    met = docs.select("doc_id", "text").join(members, F.col("doc_id").eqNullSafe(F.col("member")))
-    return met.select("key", "text").mapInArrow(sliced(work), "key long, ztext binary")
+    # Compressed before the join, which has to shuffle every text.
+    small = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        sliced(squeezed), "doc_id long, ztext binary"
+    )
+    met = small.join(members, F.col("doc_id").eqNullSafe(F.col("member")))
+    return met.select("key", "ztext").mapInArrow(
+        sliced(work, "ztext"), "key long, ztext binary"
+    )
 
 
 def _labels(members: DataFrame, found: DataFrame) -> DataFrame:

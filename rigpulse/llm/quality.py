@@ -292,7 +292,7 @@ def judged(docs: DataFrame, rules: DecisionList) -> DataFrame:
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns."""
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    return judged(docs, fit(docs, labels)).select(
+    return judged(docs.select("doc_id", "text"), fit(docs, labels)).select(
         "doc_id",
         *(F.col(f"_stats.{n}").alias(n) for n in shown),
         F.col("_base_failed").alias("base_failed"),

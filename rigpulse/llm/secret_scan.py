@@ -225,7 +225,7 @@ def added(rules: tuple[Rule, ...] = RULES) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """The contract's columns, derived from the spans."""
     base = F.concat(*(F.col(f"found_{r.kind}") for r in RULES if r.base))
-    found = scan(docs).withColumn("_added", added())
+    found = scan(docs.select("doc_id", "text")).withColumn("_added", added())
     return found.select(
         "doc_id",
         *(F.size(f"found_{r.kind}").cast("long").alias(f"n_{r.kind}") for r in RULES if r.base),
@@ -258,9 +258,11 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         lambda state: F.concat(state["out"], piece(state["pos"], F.char_length(text))),
     )
     changed = F.when(F.size(every) > 0, replaced).otherwise(text)
-    out = scan(docs).withColumn("text", changed)
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*names)
+    # The row travels in a struct, so that its other columns may have any name.
+    rows = docs.select("doc_id", "text", F.struct(*(docs[n] for n in names)).alias("_row"))
+    new = {"text": F.col("_new"), "n_chars": F.char_length("_new").cast("long")}
+    return scan(rows).withColumn("_new", changed).select(
+        *(new.get(n, F.col("_row")[n]).alias(n) for n in names)
+    )
 
 
