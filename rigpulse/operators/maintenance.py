@@ -108,8 +108,9 @@ def service_report(services: DataFrame) -> DataFrame:
 
 
 def parts_by_log(logs: DataFrame, parts: DataFrame, key: str = "log_id") -> DataFrame:
-    """Logs with the sorted distinct names of the parts replaced; parts hold the key and ``part``.
+    """Logs with the sorted distinct names of the parts replaced, null for a log without parts;
+    parts hold the key and ``part``.
 
     Repeated parts of a log are dropped inside each task before the one shuffle."""
     lists = parts.groupBy(key).agg(F.sort_array(F.collect_set("part")).alias("parts_replaced"))
-    return logs.join(lists, key)
+    return logs.join(lists, key, "left")

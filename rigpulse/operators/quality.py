@@ -65,8 +65,21 @@ def column_rules(
     not_null: Sequence[str] = (),
     max_lengths: Mapping[str, int] | None = None,
     domains: Mapping[str, Sequence[str]] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> dict[str, Column]:
-    """Rule name -> condition that is true for a violating row."""
+    """Rule name -> condition that is true for a violating row.
+
+    With ``columns``, those the table has: a column it lacks counts as null in every row, which
+    violates a not-null rule everywhere and other rules nowhere.
+    """
+    if columns is not None:
+        lacking = lambda names: [n for n in names if n not in columns]
+        held = lambda names: {n: v for n, v in (names or {}).items() if n in columns}
+        rules = {f"not_null:{c}": F.lit(True) for c in lacking(not_null)}
+        rules |= {f"max_length:{c}": F.lit(False) for c in lacking(max_lengths or {})}
+        rules |= {f"domain:{c}": F.lit(False) for c in lacking(domains or {})}
+        kept = [c for c in not_null if c in columns]
+        return rules | column_rules(kept, held(max_lengths), held(domains))
     rules = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
     for name, limit in (max_lengths or {}).items():
         rules[f"max_length:{name}"] = F.length(name) > limit

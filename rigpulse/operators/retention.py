@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rigpulse.functions.text import month_from_name, month_name
 from rigpulse.functions.time import month_start, ts
-from rigpulse.sinks.tables import overwrite_partitions
+from rigpulse.sources.tables import read_or_empty
 
 # Days kept, months with a partition of their own, name stem.
 RETENTION_DAYS = 90
@@ -75,7 +75,17 @@ def expired_names(
 
 
 class ArchiveIncomplete(Exception):
-    """The archive holds other row counts than the rows about to be dropped."""
+    """The archive lacks a row that is about to be dropped."""
+
+
+def _missing(spark: SparkSession, expired: DataFrame, archive_path: str) -> DataFrame:
+    """Expired rows that the archive does not hold; only the months concerned are read."""
+    names = expired.columns
+    archived = read_or_empty(
+        lambda: spark.read.schema(expired.schema).parquet(archive_path), spark, expired.schema
+    ).select(*names)
+    months = expired.select(_MONTH).distinct()
+    return expired.exceptAll(archived.join(months, _MONTH, "left_semi").select(*names))
 
 
 def apply_retention(
@@ -89,25 +99,22 @@ def apply_retention(
     *,
     legacy: bool = False,
 ) -> DataFrame:
-    """Archive expired months, compare row counts, write the rest; returns the rows kept.
+    """Add expired rows to the archive, compare rows, write the rest; returns the rows kept.
 
     Months without a partition of their own expire by their rows' time like all others; rows
-    without a time are kept. Months archived by earlier runs stay, and a month archived again
-    replaces itself. The source is left as it is: the caller swaps in ``keep_path`` once this
-    returns.
+    without a time are kept. The archive only grows: rows that it holds already (a run repeated
+    after a failure) are not added again, late rows of a month archived before join it. The source
+    is left as it is: the caller swaps in ``keep_path`` once this returns.
     """
     month = month_start(F.col(column))
     staged = df.withColumn(_MONTH, month)
     gone = F.coalesce(_expired(month, as_of, days, legacy), F.lit(False))
-    overwrite_partitions(staged.where(gone), archive_path, [_MONTH])
-
-    expected = staged.where(gone).groupBy(_MONTH).agg(F.count("*").alias("expected"))
-    archived = spark.read.schema(staged.schema).parquet(archive_path)
-    found = archived.groupBy(_MONTH).agg(F.count("*").alias("found"))
-    differing = expected.join(found, _MONTH, "left").where(
-        ~F.col("expected").eqNullSafe(F.col("found"))
-    )
-    wrong = differing.limit(1).collect()
+    expired = staged.where(gone)
+    _missing(spark, expired, archive_path).hint("rebalance", _MONTH).write.mode(
+        "append"
+    ).partitionBy(_MONTH).parquet(archive_path)
+    # Row by row, not by count: every expired row has to be there before anything is dropped.
+    wrong = _missing(spark, expired, archive_path).limit(1).collect()
     if wrong:
         raise ArchiveIncomplete(str(wrong[0].asDict()))
 

@@ -478,14 +478,8 @@ def orphan_logs(w):
 
 
 def _column_report(df: DataFrame, table: str) -> DataFrame:
-    def present(names) -> list[str]:
-        return [n for n in names if n in df.columns]
-
-    lengths, domains = MAX_LENGTHS.get(table, {}), DOMAINS.get(table, {})
     rules: dict[str, Column] = Q.column_rules(
-        present(NOT_NULL[table]),
-        {n: lengths[n] for n in present(lengths)},
-        {n: domains[n] for n in present(domains)},
+        NOT_NULL[table], MAX_LENGTHS.get(table, {}), DOMAINS.get(table, {}), df.columns
     )
     return Q.violations(df, rules).withColumn("checked", F.lit(table))
 

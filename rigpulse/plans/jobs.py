@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +58,19 @@ def run_maintenance(
     services = spark.read.parquet(listed)
 
     alerts = sources.with_defaults(maintenance.service_alerts(services, as_of), C.ALERT_DEFAULTS)
-    stored = spark.read.schema(C.ALERTS).parquet(alerts_path)
+    stored = sources.read_or_empty(
+        lambda: sources.read_dated(spark, alerts_path, C.ALERTS, "triggered_at"), spark, C.ALERTS
+    )
     fresh = sinks.to_schema(alerts, C.ALERTS)
-    # An alert already resolved stays resolved: its id is found and nothing is added.
-    sinks.insert_absent(fresh, stored, alerts_path, ["alert_id"])
-
-    logs = spark.read.schema(C.MAINTENANCE_LOGS).parquet(logs_path)
+    # An alert already resolved stays resolved: its id is found and nothing is added. The table is
+    # the one the stream writes, so open alerts and the KPI's counts see service alerts too.
+    sinks.append_dated(
+        sinks.absent_rows(fresh, stored, ["alert_id"]), alerts_path, "triggered_at"
+    )
+
+    logs = sources.read_or_empty(
+        lambda: spark.read.schema(C.MAINTENANCE_LOGS).parquet(logs_path), spark, C.MAINTENANCE_LOGS
+    )
     entries = maintenance.service_logs(services, logs, as_of)
     made = entries.withColumn("created_at", F.lit(as_of).cast("timestamp"))
     sinks.to_schema(made, C.MAINTENANCE_LOGS).write.mode("append").parquet(logs_path)
@@ -99,28 +106,50 @@ def fleet_tables(
     fact tables are narrowed to it by folder."""
     start = datetime.combine(day, datetime.min.time()) if day else None
     end = start + timedelta(days=1) if start else None
+    dated = lambda name, schema, column: sources.read_or_empty(
+        lambda: sources.read_dated(spark, f"{root}/{name}", schema, column, start, end),
+        spark, schema,
+    )
     return {
-        "readings": sources.read_dated(
-            spark, f"{root}/readings", C.SENSOR_READINGS, "recorded_at", start, end
-        ),
-        "alerts": sources.read_dated(spark, f"{root}/alerts", C.ALERTS, "triggered_at", start, end),
+        "readings": dated("readings", C.SENSOR_READINGS, "recorded_at"),
+        "alerts": dated("alerts", C.ALERTS, "triggered_at"),
         "equipment": spark.read.schema(C.EQUIPMENT).parquet(f"{root}/equipment"),
         "sites": spark.read.schema(C.SITES).parquet(f"{root}/sites"),
     }
 
 
+def _moment(text: str) -> str:
+    return datetime.fromisoformat(text).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Fleet telemetry jobs")
     names = ["daily-kpi", "maintenance", "health", "retention", "stream"]
     parser.add_argument("job", choices=names)
     parser.add_argument("--root", required=True, help="folder of the stored tables")
-    parser.add_argument("--as-of", help="the moment taken for now, YYYY-MM-DD HH:MM:SS in UTC")
+    parser.add_argument(
+        "--as-of", type=_moment, default=datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
+        help="the moment taken for now, YYYY-MM-DD HH:MM:SS in UTC; else the clock",
+    )
     parser.add_argument("--servers", help="Kafka bootstrap servers, for the stream")
     parser.add_argument("--checkpoint", help="checkpoint folder, for the stream")
+    parser.add_argument("--starting-offsets", default="latest", help="for the stream's first start")
+    parser.add_argument("--max-offsets", type=int, help="most offsets of a trigger; else no limit")
+    parser.add_argument("--min-partitions", type=int, help="least tasks of a trigger's scan")
+    parser.add_argument(
+        "--allow-data-loss", action="store_true", help="go on when the broker deleted offsets"
+    )
     args = parser.parse_args(arguments)
+    if args.job == "stream" and not (args.servers and args.checkpoint):
+        parser.error("the stream needs --servers and --checkpoint")
     if args.job == "stream":
         spark = build_session("rigpulse-stream", **streams.STATE_STORE_CONF)
-        streams.run_all(kafka_stream(spark, args.servers), args.root, args.checkpoint)
+        messages = kafka_stream(
+            spark, args.servers, starting_offsets=args.starting_offsets,
+            max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions,
+            fail_on_data_loss=not args.allow_data_loss,
+        )
+        streams.run_all(messages, args.root, args.checkpoint)
         spark.streams.awaitAnyTermination()
         return
 
@@ -134,14 +163,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if args.job == "maintenance":
         counts, report = run_maintenance(
             t["readings"], t["equipment"], t["sites"],
-            f"{root}/service_alerts", f"{root}/maintenance_logs", as_of,
+            f"{root}/alerts", f"{root}/maintenance_logs", as_of,
         )
         print(counts)
         report.select("line").write.mode("overwrite").text(f"{root}/service_report")
     elif args.job == "health":
         print(run_health_check(t["readings"], t["alerts"], as_of))
     else:
-        run_retention(t["readings"], as_of, f"{root}/expired", f"{root}/readings_kept").show()
+        plan = run_retention(t["readings"], as_of, f"{root}/expired", f"{root}/readings_kept")
+        plan.write.mode("overwrite").parquet(f"{root}/retention_plan")
 
 
 if __name__ == "__main__":

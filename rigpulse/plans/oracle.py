@@ -706,7 +706,7 @@ def all_oracles() -> dict[str, str]:
     )
     q["parts_replaced"] = _with(
         """SELECT log_id, equipment_id, service_date, parts_replaced
-           FROM logs JOIN (
+           FROM logs LEFT JOIN (
                SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT l_partkey::VARCHAR)), ',')
                           AS parts_replaced
                FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
@@ -749,6 +749,8 @@ def all_oracles() -> dict[str, str]:
             "not_null:site_id": "site_id IS NULL",
             "not_null:site_name": "site_name IS NULL",
             "not_null:state": "state IS NULL",
+            **{f"not_null:{c}": "TRUE" for c in ("latitude", "longitude", "timezone", "active")},
+            "max_length:timezone": "FALSE",
             "max_length:site_id": "length(site_id) > 30",
             "max_length:site_name": "length(site_name) > 100",
             "max_length:state": "length(state) > 3",
@@ -758,6 +760,7 @@ def all_oracles() -> dict[str, str]:
             "not_null:service_date": "service_date IS NULL",
             "not_null:service_type": "service_type IS NULL",
             "max_length:equipment_id": "length(equipment_id) > 20",
+            "max_length:technician": "FALSE",
             "domain:service_type": (
                 "service_type NOT IN ('routine', 'corrective', 'preventive', 'emergency')"
             ),

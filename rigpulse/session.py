@@ -23,25 +23,30 @@ RUNTIME_CONF = {
 START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-# Shuffles on a cluster start with this many partitions per core, within these bounds; adaptive
+# Shuffles on a cluster start with this many partitions per core, or as many as the input needs; adaptive
 # execution merges those that turn out small. The default of 200 would never be raised.
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 PARTITIONS_PER_CORE = 4
-MIN_PARTITIONS, MAX_PARTITIONS = 2_000, 40_000
+MIN_PARTITIONS = 2_000
+# What one of them should hold at most when the whole input is shuffled.
+PARTITION_BYTES = 128 << 20
 
 
-def initial_partitions(cores: int) -> int:
-    return min(max(cores * PARTITIONS_PER_CORE, MIN_PARTITIONS), MAX_PARTITIONS)
+def initial_partitions(cores: int, input_bytes: int = 0) -> int:
+    return max(cores * PARTITIONS_PER_CORE, MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session; an own partition number is kept."""
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the runtime settings to an existing session; an own partition number is kept.
+
+    A job that knows the size of what it shuffles passes it; partitions then follow it.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     local = spark.sparkContext.master.startswith("local")
     if not local and spark.conf.get(INITIAL_PARTITIONS, None) is None:
         cores = spark.sparkContext.defaultParallelism
-        spark.conf.set(INITIAL_PARTITIONS, str(initial_partitions(cores)))
+        spark.conf.set(INITIAL_PARTITIONS, str(initial_partitions(cores, input_bytes)))
     return spark
 
 

@@ -98,6 +98,14 @@ def write_dated(df: DataFrame, path: str, column: str, batch_id: int) -> None:
     overwrite_partitions(dated, path, [DAY_PARTITION, "batch_id"], ["equipment_id", column])
 
 
+def append_dated(df: DataFrame, path: str, column: str) -> None:
+    """Add rows of a job, not of a stream, to a fact table kept by day; -1 stands for their batch."""
+    dated = df.withColumns(
+        {DAY_PARTITION: F.to_date(column), "batch_id": F.lit(-1).cast("bigint")}
+    )
+    dated.write.mode("append").partitionBy(DAY_PARTITION, "batch_id").parquet(path)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Add one micro-batch to a table without days; the same batch written again replaces itself,
     also when it has no rows."""

@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 from rigpulse.schemas import (
     ALERT_EVENT,
     ALERT_REQUIRED,
+    ALERTS,
     SENSOR_EVENT,
+    SENSOR_READINGS,
     SENSOR_REQUIRED,
     TOPIC_ALERTS,
     TOPIC_SENSOR,
@@ -27,20 +29,39 @@ def _parsed(schema: T.StructType) -> Column:
     return F.from_json(F.col("value").cast("string"), wide, options)
 
 
-def _problem(required: Sequence[str]) -> Column:
+def out_of_range(schema: T.StructType, stored: T.StructType) -> Column:
+    """Whether a number is not finite or does not fit the decimal it is to be stored in."""
+    bad = F.lit(False)
+    numbers = {f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
+    for f in stored.fields:
+        if f.name in numbers and isinstance(f.dataType, T.DecimalType):
+            digits, scale = f.dataType.precision - f.dataType.scale, f.dataType.scale
+            # Half a unit of the last place below the bound, where rounding would reach it. NaN
+            # counts as larger than every number.
+            limit = float(10**digits) - 0.5 * 10.0**-scale
+            bad = bad | F.coalesce(F.abs(F.col(f.name)) >= limit, F.lit(False))
+    return bad
+
+
+def _problem(required: Sequence[str], bad_number: Column) -> Column:
     """Why a record is refused, null for a good one."""
     missing = F.lit(False)
     for name in required:
         missing = missing | F.col(name).isNull()
     empty = F.coalesce(F.trim(F.col("_value").cast("string")), F.lit("")) == ""
     unreadable = F.col(_CORRUPT).isNotNull() | empty
-    return F.when(unreadable, F.lit("malformed")).when(missing, F.lit("missing_field"))
+    return (
+        F.when(unreadable, F.lit("malformed"))
+        .when(missing, F.lit("missing_field"))
+        .when(bad_number, F.lit("out_of_range"))
+    )
 
 
 def parse(
     messages: DataFrame,
     schema: T.StructType = SENSOR_EVENT,
     required: Sequence[str] = SENSOR_REQUIRED,
+    stored: T.StructType = SENSOR_READINGS,
 ) -> DataFrame:
     """Typed columns, the raw message (underscored) and the problem, if any.
 
@@ -54,7 +75,8 @@ def parse(
         F.col("timestamp").alias("kafka_timestamp"),
         F.inline(F.array(_parsed(schema))),
     )
-    return rows.withColumn("problem", _problem(required)).drop(_CORRUPT)
+    problem = _problem(required, out_of_range(schema, stored))
+    return rows.withColumn("problem", problem).drop(_CORRUPT)
 
 
 def valid(parsed: DataFrame, schema: T.StructType = SENSOR_EVENT) -> DataFrame:
@@ -83,7 +105,9 @@ def route(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sensor events and alert events of a frame that mixes both topics."""
     sensors = decode(messages.where(F.col("topic") == TOPIC_SENSOR))
     alerts = messages.where(F.col("topic") == TOPIC_ALERTS)
-    return sensors, valid(parse(alerts, ALERT_EVENT, ALERT_REQUIRED), ALERT_EVENT)
+    return sensors, valid(
+        parse(alerts, ALERT_EVENT, ALERT_REQUIRED, ALERTS), ALERT_EVENT
+    )
 
 
 def encode(

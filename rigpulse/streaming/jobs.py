@@ -164,14 +164,16 @@ def window_query(
 
 
 def window_console(
-    messages: DataFrame, checkpoint: str, trigger: Trigger = Trigger(WINDOW_TRIGGER)
+    messages: DataFrame, checkpoint: str, trigger: Trigger = Trigger(WINDOW_TRIGGER),
+    *, rows: int = 1_000,
 ) -> StreamingQuery:
-    """The same statistics on the console, for a look while developing."""
+    """The same statistics on the console, for a look while developing: ``rows`` of a trigger."""
     return (
         sliding_stats(enrich(sensor_stream(messages)))
         .writeStream.outputMode("update")
         .format("console")
         .option("truncate", False)
+        .option("numRows", rows)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options())
         .start()

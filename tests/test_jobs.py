@@ -61,8 +61,9 @@ def test_kpi_job_stops_at_the_gate(spark):
 
 
 def test_maintenance_job_twice(spark):
-    alerts = _empty(spark, C.ALERTS, "alerts")
-    logs = _empty(spark, C.MAINTENANCE_LOGS, "logs")
+    """On tables that do not exist before the first run."""
+    root = scratch_dir(spark, "maintenance")
+    alerts, logs = f"{root}/alerts", f"{root}/logs"
     for _ in range(2):
         counts, report = jobs.run_maintenance(
             _day(spark), equipment(spark, *FLEET), sites(spark, "s1"), alerts, logs, AS_OF
@@ -75,6 +76,69 @@ def test_maintenance_job_twice(spark):
     assert rows(spark.read.parquet(logs), "equipment_id", "service_date") == [("m1", date(2025, 1, 2))]
 
 
+def test_service_alerts_join_the_streamed_ones(spark):
+    root = scratch_dir(spark, "one-alerts-table")
+    hot = {"engine_temp_c": 130.0, "timestamp": T0}
+    D.encode(events(spark, hot)).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("key string, value binary, topic string, timestamp timestamp")
+    J.drain(J.live_query(stream.parquet(f"{root}/in"), root, f"{root}/c", J.DRAIN))
+    before = jobs.fleet_tables
+    to_schema(equipment(spark, *FLEET), C.EQUIPMENT).write.parquet(f"{root}/equipment")
+    to_schema(sites(spark, "s1"), C.SITES).write.parquet(f"{root}/sites")
+    streamed = before(spark, root)["alerts"].count()
+    jobs.run_maintenance(
+        _day(spark), equipment(spark, *FLEET), sites(spark, "s1"), f"{root}/alerts", f"{root}/logs", AS_OF
+    )
+    assert before(spark, root)["alerts"].count() == streamed + 1
+
+
+def test_bad_numbers_do_not_stop_the_stream(spark):
+    root = scratch_dir(spark, "poison")
+    stream = spark.readStream.schema("key string, value binary, topic string, timestamp timestamp")
+    sent = [
+        events(spark, {"event_id": "p1", "fuel_level_pct": 1000.0}, {"event_id": "p2", "fuel_level_pct": 999.996},
+               {"event_id": "p3", "engine_temp_c": -10_000.0}, {"event_id": "g1", "fuel_level_pct": 999.99}),
+        events(spark, {"event_id": "g2"}),
+    ]
+    for i, part in enumerate(sent):  # the second round restarts from the checkpoint
+        D.encode(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        J.drain(J.live_query(stream.parquet(f"{root}/in"), root, f"{root}/c", J.DRAIN))
+    assert rows(spark.read.parquet(f"{root}/readings"), "event_id") == [("g1",), ("g2",)]
+    refused = spark.read.parquet(f"{root}/quarantine")
+    assert rows(refused, "problem") == [("out_of_range",)] * 3
+
+
+def test_numbers_that_are_not_finite(spark):
+    frame = events(spark, *({"event_id": str(v), "engine_temp_c": v} for v in (float("nan"), float("inf"), 20.0, None)))
+    bad = D.out_of_range(C.SENSOR_EVENT, C.SENSOR_READINGS)
+    assert rows(frame.where(bad), "event_id") == [("inf",), ("nan",)]
+
+
+def test_progress_log_keeps_every_batch(spark):
+    from rigpulse.streaming.progress import ProgressLog
+
+    root = scratch_dir(spark, "progress")
+    for i in range(3):
+        D.encode(events(spark, {"event_id": f"e{i}"})).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    log = ProgressLog(spark, f"{root}/log")
+    spark.streams.addListener(log)
+    try:
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).schema(
+            "key string, value binary, topic string, timestamp timestamp"
+        )
+        J.drain(J.live_query(stream.parquet(f"{root}/in"), root, f"{root}/c", J.DRAIN))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        assert log.read().agg(F.sum("input_rows")).first()[0] == 3
+    finally:
+        spark.streams.removeListener(log)
+
+
+@pytest.mark.parametrize("words", [["stream", "--root", "r"], ["daily-kpi", "--root", "r", "--as-of", "soon"]])
+def test_job_arguments_are_checked(words):
+    with pytest.raises(SystemExit):
+        jobs.main(words)
+
+
 def test_health_job(spark):
     frame = _day(spark).limit(5).withColumn("recorded_at", F.lit("2025-01-01 23:59:00").cast("timestamp"))
     alerts = to_schema(limit_alerts(frame), C.ALERTS)
@@ -105,7 +169,8 @@ def test_kpi_job_from_streamed_tables(spark):
 
 
 def test_partitions_grow_with_the_cluster():
-    assert [initial_partitions(n) for n in (8, 4_000, 100_000)] == [2_000, 16_000, 40_000]
+    assert [initial_partitions(n) for n in (8, 4_000, 100_000)] == [2_000, 16_000, 400_000]
+    assert initial_partitions(8, 100 << 40) == 819_200
 
 
 def test_windows_with_the_large_state_store(spark):

@@ -425,6 +425,15 @@ def test_retention_keeps_earlier_archives(spark):
     assert rows(spark.read.parquet(f"{root}/a"), "event_id") == [("new",), ("old",)]
 
 
+def test_late_rows_of_an_archived_month_join_it(spark):
+    root = scratch_dir(spark, "retention-late")
+    month = readings(spark, *[{"event_id": f"a{i}", "timestamp": datetime(2024, 8, 1)} for i in range(5)])
+    late = readings(spark, {"event_id": "late", "timestamp": datetime(2024, 8, 2)})
+    for frame in (month, late, late):
+        N.apply_retention(spark, frame, AS_OF, f"{root}/a", f"{root}/k")
+    assert len(rows(spark.read.parquet(f"{root}/a"), "event_id")) == 6
+
+
 def test_retention_with_nothing_expired(spark):
     frame = readings(spark, {})
     root = scratch_dir(spark, "retention-empty")

@@ -171,7 +171,8 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "a,b",
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "10000",
+        "failOnDataLoss": "true",
         "minPartitions": "64",
     }
+    limited = kafka_options("b", max_offsets_per_trigger=5, fail_on_data_loss=False)
+    assert (limited["maxOffsetsPerTrigger"], limited["failOnDataLoss"]) == ("5", "false")
