@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -29,6 +30,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps, which Spark keeps until the driver's garbage
+    is collected; without it a query of many steps holds those of all on disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about SLICE_BYTES of text each."""
     at = size = 0

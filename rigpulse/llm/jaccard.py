@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rigpulse.llm.common import saved, sliced
+from rigpulse.llm.common import release, saved, sliced
 from rigpulse.llm.components import components
 from rigpulse.llm.words import mix, shingles
 
@@ -430,6 +430,8 @@ def classified(docs: DataFrame) -> DataFrame:
         .where(F.col("_low") != F.col("_high")).select("cell", "key").distinct(),
         "cells",
     )
+    spark = docs.sparkSession
+    release(spark)
     # How much of its prefix a class shares: the source of a group of edited copies shares most.
     weight = shared.groupBy("key").agg(F.count("*").alias("w"))
     classes = classes.join(weight, "key").withColumn(
@@ -438,6 +440,7 @@ def classified(docs: DataFrame) -> DataFrame:
     classes = saved(classes, "classes")
     texts = saved(_member_texts(docs, classes.select("key", "member")), "texts")
 
+    release(spark)
     # Step 1: each class against the one of its cell that shares most.
     pivots = (
         shared.join(classes.select("key", "w"), "key").groupBy("cell")
@@ -448,7 +451,9 @@ def classified(docs: DataFrame) -> DataFrame:
         .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
     )
     links = saved(_verified(_bounded(stars, classes), texts), "links")
+    release(spark)
     found = components(links)
+    release(spark)
 
     # Step 2: cells that still hold more than one component.
     labelled = _labels(shared.select("cell", "key"), found)

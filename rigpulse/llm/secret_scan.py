@@ -259,10 +259,11 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     )
     changed = F.when(F.size(every) > 0, replaced).otherwise(text)
     # The row travels in a struct, so that its other columns may have any name.
-    rows = docs.select("doc_id", "text", F.struct(*(docs[n] for n in names)).alias("_row"))
+    rest = F.struct(F.lit(0).alias("_"), *(docs[n] for n in names if n not in ("text", "n_chars")))
+    rows = docs.select("doc_id", "text", rest.alias("_row"))
     new = {"text": F.col("_new"), "n_chars": F.char_length("_new").cast("long")}
     return scan(rows).withColumn("_new", changed).select(
-        *(new.get(n, F.col("_row")[n]).alias(n) for n in names)
+        *((new[n] if n in new else F.col("_row")[n]).alias(n) for n in names)
     )
 
 
