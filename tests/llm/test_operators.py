@@ -216,7 +216,7 @@ def test_secrets(docs):
 
 def test_trigram_queries():
     assert secret_scan.trigram_query(r"[0-9a-f]+") is None
-    assert secret_scan.trigram_query("ab?cdef") == secret_scan.trigram_query("(abcdef|acdef)")
+    assert set(secret_scan.trigram_query("ab?cdef")) == {frozenset({"abc", "bcd", "cde", "def"}), frozenset({"acd", "cde", "def"})}
     for rule in secret_scan.RULES:
         for sample in ("ghp_" + "a" * 36, 'Secret: "abcdefgh', "api_key=abcdefgh1", "AKIA" + "B" * 14, "eyJ" + "a" * 9 + "." + "b" * 9 + "." + "c" * 9):
             if re.search(rule.pattern, sample) and (query := secret_scan.trigram_query(rule.pattern)):
