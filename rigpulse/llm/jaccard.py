@@ -450,7 +450,10 @@ def classified(docs: DataFrame) -> DataFrame:
         shared.join(pivots, "cell").where(F.col("key") != F.col("pivot"))
         .select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
     )
-    links = saved(_verified(_bounded(stars, classes), texts), "links")
+    # Pairs are written before they are verified, so that the shuffles that found them can go first.
+    near = saved(_bounded(stars, classes), "pairs")
+    release(spark)
+    links = saved(_verified(near, texts), "links")
     release(spark)
     found = components(links)
     release(spark)
@@ -461,7 +464,8 @@ def classified(docs: DataFrame) -> DataFrame:
         F.min("label").alias("_least"), F.max("label").alias("_most"), F.count("*").alias("_m")
     ).where((F.col("_least") != F.col("_most")) & (F.col("_m") > 2)).select("cell")
     open_ = labelled.join(several, "cell", "left_semi").join(classes.select("key", "point"), "key")
-    more = _enough_met(_searched(_tasks(open_)))
+    more = saved(_enough_met(_searched(_tasks(open_))), "pairs")
+    release(spark)
     later = saved(_verified(more, texts), "links")
     found = components(links.unionAll(later))
     keyed = found.select(F.col("node").alias("key"), F.col("component").alias("component_key"))
