@@ -13,8 +13,14 @@ def hash_id(*keys: Column | str) -> Column:
     return F.sha2(F.concat_ws("#", *parts), 256)
 
 
+def plain(number: Column) -> Column:
+    """Number without an exponent or trailing zeros; whole numbers without a point."""
+    exact = number.cast("double").cast("decimal(38,6)").cast("string")
+    return F.regexp_replace(exact, r"\.?0+$", "")
+
+
 def limit_message() -> Column:
-    """Message of a limit alert; limits are whole numbers and print without decimals."""
+    """Message of a limit alert; a whole limit prints without decimals, another one in full."""
     return F.concat(
         F.col("severity"),
         F.lit(": "),
@@ -24,7 +30,7 @@ def limit_message() -> Column:
         F.lit("="),
         F.col("value").cast("string"),
         F.lit(" (threshold="),
-        F.col("threshold").cast("long").cast("string"),
+        plain(F.col("threshold")),
         F.lit(")"),
     )
 

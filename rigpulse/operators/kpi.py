@@ -12,6 +12,7 @@ from rigpulse.functions.time import previous_day, trailing_days, within
 # Fixed value: one reading every ten seconds.
 READINGS_PER_HOUR = 360
 
+# The columns of the stored KPI table.
 KPI_COLUMNS = (
     "equipment_id",
     "site_id",

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rigpulse.functions import rules as R
-from rigpulse.functions.text import month_from_name, whole
+from rigpulse.functions.text import month_from_name, plain, whole
 from rigpulse.operators.alerts import flag_alerts, limit_alerts
 from rigpulse.operators.enrich import enrich
 from tests.helpers import events, rows
@@ -117,3 +117,9 @@ def test_month_names(spark):
     frame = spark.createDataFrame([(n,) for n in names], "n string")
     found = [str(r[0]) for r in frame.select(month_from_name(F.col("n"))).collect()]
     assert found == ["2024-01-01", "2024-01-01", "None", "None", "None", "None"]
+
+
+def test_limits_print_without_exponent_or_trailing_zeros(spark):
+    frame = spark.createDataFrame([(10.0,), (10.5,), (1e7,), (0.25,), (0.0,), (-3.0,)], "x double")
+    printed = [r[0] for r in frame.select(plain(F.col("x"))).collect()]
+    assert printed == ["10", "10.5", "10000000", "0.25", "0", "-3"]
