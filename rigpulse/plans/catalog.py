@@ -544,6 +544,21 @@ def _event_stream(w) -> DataFrame:
     return D.encode(WH.events_from_readings(WH.readings_from_events(rows), w.equipment()))
 
 
+def _event_batches(w, files: int = 3) -> DataFrame:
+    """The events as ranges of time in a file each, one file to a micro-batch."""
+    path = scratch_dir(w.spark, "event-files")
+    w.table("events").repartitionByRange(files, "ts").write.parquet(path)
+    reader = w.spark.readStream.schema(w.table("events").schema)
+    rows = reader.option("maxFilesPerTrigger", 1).parquet(path)
+    return D.encode(WH.events_from_readings(WH.readings_from_events(rows), w.equipment()))
+
+
+def _standing(w) -> DataFrame:
+    root = scratch_dir(w.spark, "stream-latest")
+    J.drain(J.latest_query(_event_batches(w), f"{root}/latest", f"{root}/checkpoint", J.DRAIN))
+    return J.current_latest(w.spark, f"{root}/latest")
+
+
 @_query
 def stream_sliding_stats(w):
     root = scratch_dir(w.spark, "stream-windows")
@@ -561,12 +576,26 @@ def stream_live_alerts(w):
 
 @_query
 def stream_latest(w):
-    root = scratch_dir(w.spark, "stream-latest")
-    J.drain(J.latest_query(_event_stream(w), f"{root}/latest", f"{root}/checkpoint", J.DRAIN))
-    newest = J.current_latest(w.spark, f"{root}/latest")
+    newest = _standing(w)
     return portable(newest.select("equipment_id", "event_id", "recorded_at", "status"))
 
 
+@_query
+def fleet_status_standing(w):
+    """Machines by status from the standing table; the averages, of stored decimals, are left to
+    ``fleet_health``."""
+    counted = ["total_machines", "operating", "in_fault", "in_maintenance", "idle"]
+    health = H.fleet_health(_standing(w), w.equipment(), w.sites(), with_idle=True)
+    return health.select("site_id", "site_name", "equipment_type", *counted)
+
+
+@_query
+def latest_standing(w):
+    """Newest reading of each machine with master data, served by the standing table."""
+    rows = P.equipment_latest(_standing(w), w.equipment())
+    return portable(rows.select("equipment_id", "equipment_type", "site_id", "recorded_at", "status"))
+
+
 @_query
 def stream_dedupe(w):
     """Every message sent twice; each event comes out once."""

@@ -103,15 +103,20 @@ def fleet_tables(
     spark: SparkSession, root: str, day: date | None = None
 ) -> Mapping[str, DataFrame]:
     """The stored tables under a folder, as the streaming job lays them out; with a day, the two
-    fact tables are narrowed to it by folder."""
+    fact tables are narrowed to it by folder. ``newest`` is the stream's standing table of newest
+    readings, or the readings where no stream keeps one."""
     start = datetime.combine(day, datetime.min.time()) if day else None
     end = start + timedelta(days=1) if start else None
     dated = lambda name, schema, column: sources.read_or_empty(
         lambda: sources.read_dated(spark, f"{root}/{name}", schema, column, start, end),
         spark, schema,
     )
+    readings = dated("readings", C.SENSOR_READINGS, "recorded_at")
     return {
-        "readings": dated("readings", C.SENSOR_READINGS, "recorded_at"),
+        "readings": readings,
+        "newest": sources.read_or(
+            lambda: streams.current_latest(spark, f"{root}/latest"), lambda: readings
+        ),
         "alerts": dated("alerts", C.ALERTS, "triggered_at"),
         "equipment": spark.read.schema(C.EQUIPMENT).parquet(f"{root}/equipment"),
         "sites": spark.read.schema(C.SITES).parquet(f"{root}/sites"),
@@ -162,7 +167,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     t = fleet_tables(spark, root)
     if args.job == "maintenance":
         counts, report = run_maintenance(
-            t["readings"], t["equipment"], t["sites"],
+            t["newest"], t["equipment"], t["sites"],
             f"{root}/alerts", f"{root}/maintenance_logs", as_of,
         )
         print(counts)

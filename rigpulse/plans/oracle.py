@@ -812,6 +812,14 @@ def all_oracles() -> dict[str, str]:
     q["stream_latest"] = _with(
         "SELECT equipment_id, event_id, recorded_at, status FROM newest", "newest"
     )
+    q["fleet_status_standing"] = _with(
+        """SELECT site_id, site_name, equipment_type, total_machines, operating, in_fault,
+                  in_maintenance, idle FROM health""",
+        "health",
+    )
+    q["latest_standing"] = _with(
+        "SELECT equipment_id, equipment_type, site_id, recorded_at, status FROM latest", "latest"
+    )
     q["stream_dedupe"] = _with(
         'SELECT event_id, equipment_id, "timestamp" FROM sensor_events', "sensor_events"
     )

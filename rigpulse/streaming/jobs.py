@@ -22,7 +22,7 @@ from rigpulse.sinks.tables import (
     write_dated,
 )
 from rigpulse.sources.decode import decode, parse, quarantine, valid
-from rigpulse.sources.tables import with_defaults
+from rigpulse.sources.tables import read_dated, read_or_empty, with_defaults
 
 # How late an event may be, and how often each query runs.
 WATERMARK = "10 minutes"
@@ -113,24 +113,40 @@ def _slot(root: str, batch_id: int) -> str:
 
 
 def latest_query(
-    messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(LIVE_TRIGGER)
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: Trigger = Trigger(LIVE_TRIGGER),
+    *,
+    seed: Callable[[SparkSession], DataFrame] | None = None,
 ) -> StreamingQuery:
     """A standing table of every machine's newest reading, so that the latest-state queries need
     not scan the history. Two slots take turns: a batch reads the slot of the batch before it and
-    writes the other one, which a replay may repeat safely."""
+    writes the other one, which a replay may repeat safely.
+
+    ``seed`` gives the readings stored before the first batch, so that machines silent since then
+    are in the table too; the first batch alone reads them.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = stored_readings(batch)
         if batch_id > 0:
             reader = batch.sparkSession.read.schema(SENSOR_READINGS)
             rows = rows.unionByName(reader.parquet(_slot(root, batch_id - 1)))
+        elif seed is not None:
+            stored = seed(batch.sparkSession)
+            rows = rows.unionByName(stored.select(*SENSOR_READINGS.fieldNames()))
         latest_per_key(rows).write.mode("overwrite").parquet(_slot(root, batch_id))
 
     return _start(decode(messages), write, checkpoint, trigger)
 
 
 def current_latest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest reading per machine over both slots; readings columns."""
+    """The newest reading per machine over both slots; readings columns.
+
+    Every latest-state query takes this frame in place of the history, which gives the same rows
+    from one row per machine and slot.
+    """
     slots = spark.read.schema(SENSOR_READINGS).parquet(root)
     return latest_per_key(slots.select(*SENSOR_READINGS.fieldNames()))
 
@@ -215,10 +231,19 @@ def routed_query(
     return _start(messages, write, checkpoint, trigger)
 
 
+def stored_so_far(spark: SparkSession, root: str) -> DataFrame:
+    """The readings the live tables hold, none before the first write."""
+    return read_or_empty(
+        lambda: read_dated(spark, f"{root}/readings", SENSOR_READINGS, "recorded_at"),
+        spark, SENSOR_READINGS,
+    )
+
+
 def run_all(
     messages: DataFrame, root: str, checkpoint: str, triggers: Sequence[Trigger] | None = None
 ) -> list[StreamingQuery]:
-    """The whole job: live tables, archive, windows; each with a checkpoint of its own."""
+    """The whole job: live tables, the standing latest table, archive, windows; each with a
+    checkpoint of its own. The triggers are those of the live tables, the archive, the windows."""
     live, archive, windows = triggers or (
         Trigger(LIVE_TRIGGER),
         Trigger(ARCHIVE_TRIGGER),
@@ -226,6 +251,10 @@ def run_all(
     )
     return [
         live_query(messages, root, f"{checkpoint}/live", live),
+        latest_query(
+            messages, f"{root}/latest", f"{checkpoint}/latest", live,
+            seed=lambda spark: stored_so_far(spark, root),
+        ),
         archive_query(messages, f"{root}/archive", f"{checkpoint}/archive", archive),
         window_query(messages, f"{root}/windows", f"{checkpoint}/windows", windows),
     ]

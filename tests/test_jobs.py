@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rigpulse import schemas as C
 from rigpulse.operators.alerts import limit_alerts
+from rigpulse.operators import maintenance
 from rigpulse.operators.enrich import enrich
 from rigpulse.operators.quality import GateFailed
 from rigpulse.operators.windows import sliding_stats_by_pane
@@ -166,6 +167,15 @@ def test_kpi_job_from_streamed_tables(spark):
     t = jobs.fleet_tables(spark, root, date(2025, 1, 1))
     report = jobs.run_daily_kpi(t["readings"], t["equipment"], t["alerts"], f"{root}/kpi", "2025-01-01")
     assert report["row_count"] == 150
+    # Without a standing table the newest readings come from the history, else from the table.
+    assert t["newest"].count() == t["readings"].count()
+    J.drain(J.latest_query(stream.parquet(f"{root}/in"), f"{root}/latest", f"{root}/c2", J.DRAIN))
+    standing = jobs.fleet_tables(spark, root)
+    assert standing["newest"].count() == standing["newest"].select("equipment_id").distinct().count()
+    from_history, served = (
+        maintenance.service_list(standing[n], t["equipment"], t["sites"]) for n in ("readings", "newest")
+    )
+    assert rows(served, "equipment_id", "service_status") == rows(from_history, "equipment_id", "service_status")
 
 
 def test_partitions_grow_with_the_cluster():

@@ -168,6 +168,7 @@ def test_stateless_tables_take_late_rows_and_survive_restart(spark):
     drain()
     stored = tables.read_dated(spark, f"{out}/readings", SENSOR_READINGS, "recorded_at")
     assert rows(stored, "event_id") == [("late",), ("now",)]
+    assert rows(J.current_latest(spark, f"{out}/latest"), "event_id") == [("now",)]
     alerts = tables.read_dated(spark, f"{out}/alerts", ALERTS, "triggered_at")
     assert rows(alerts, "alert_type") == [("HIGH_ENGINE_TEMP",), ("WARN_ENGINE_TEMP",)]
     assert rows(spark.read.parquet(f"{out}/quarantine"), "value", "problem") == [("junk", "malformed")]
@@ -196,6 +197,23 @@ def test_latest_table_over_batches(spark):
         assert rows(found, "equipment_id", "event_id") == latest
 
 
+def test_standing_latest_starts_from_the_stored_readings(spark):
+    feed = Feed(spark)
+    out = f"{feed.root}/out"
+    assert J.stored_so_far(spark, out).count() == 0
+    _send(feed, {"equipment_id": "silent", "event_id": "old"}, {"equipment_id": "m1", "event_id": "a"})
+    J.drain(J.live_query(feed.stream(), out, f"{feed.root}/live", J.DRAIN))
+    later = Feed(spark)
+    for event_id, hour in (("b", 1), ("c", 2)):
+        _send(later, {"equipment_id": "m1", "event_id": event_id, "timestamp": at(hours=hour)})
+        J.drain(J.latest_query(
+            later.stream(), f"{out}/latest", f"{later.root}/c", J.DRAIN,
+            seed=lambda session: J.stored_so_far(session, out),
+        ))
+        newest = rows(J.current_latest(spark, f"{out}/latest"), "equipment_id", "event_id")
+        assert newest == [("m1", event_id), ("silent", "old")]
+
+
 def test_duplicates_within_the_watermark(spark):
     feed = Feed(spark)
     for minute in (0, 3, 5):
