@@ -66,6 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": _on("documents", shipped=False)(
         lambda docs: token_counts.maintained(docs, scratch_dir(docs.sparkSession, "rollup"))
     ),
+    "op1_token_counts_whole": _on("documents", shipped=False)(
+        lambda docs: token_counts.whole(docs, scratch_dir(docs.sparkSession, "rollup"))
+    ),
     "op2_ngram_jaccard": _on("documents")(jaccard.joined),
     "op3_fingerprints": _on("documents")(spotsigs.fingerprints),
     "op4_personal_data": _on("documents", shipped=False)(pii.report),
@@ -88,6 +91,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**QUERIES, "pipeline": pipeline}
 
 
+_WORDS_1 = r"[^\x20\x09-\x0D]+"
 _WORDS_2 = r"[A-Za-z0-9\x{80}-\x{10FFFF}]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]"
 
 ORACLES = {
@@ -103,6 +107,15 @@ ORACLES = {
                CAST(sum(len(regexp_extract_all(coalesce(text, ''), '{_WORDS_2}'))) AS BIGINT) AS n_tokens
         FROM kept GROUP BY 1, 2
     """,
+    # Every document, under both versions.
+    "op1_token_counts_whole": " UNION ALL ".join(
+        f"""
+        SELECT source, lang, '{version}' AS tokenizer, count(*) AS n_docs,
+               CAST(sum(len(regexp_extract_all(coalesce(text, ''), '{pattern}'))) AS BIGINT) AS n_tokens
+        FROM documents GROUP BY 1, 2
+        """
+        for version, pattern in (("words-1", _WORDS_1), ("words-2", _WORDS_2))
+    ),
 }
 
 

@@ -154,3 +154,19 @@ def maintained(docs: DataFrame, root: str) -> DataFrame:
     return rollup.totals()
 
 
+def whole(docs: DataFrame, root: str) -> DataFrame:
+    """Totals of every document, copies too, under both tokenizer versions.
+
+    All are inserted under the first version; an eighth of them goes and comes back, with a folding
+    between and its return replayed; all are inserted under the second version.
+    """
+    rollup = Rollup(docs.sparkSession, root)
+    old = counted(docs, "words-1")
+    some = old.where(F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0)
+    rollup.commit("load", inserts(old))
+    rollup.commit("withdrawn", deletes(some))
+    rollup.fold()
+    rollup.commit("returned", inserts(some))
+    rollup.commit("returned", inserts(some))
+    rollup.commit("second", inserts(counted(docs, "words-2")))
+    return rollup.totals()

@@ -388,6 +388,19 @@ def test_token_counts(spark, docs, tmp_path):
         rollup.commit("a/b", token_counts.inserts(old))
 
 
+def test_token_counts_of_every_document(spark, tmp_path):
+    """A hot source made of copies counts in full, under both versions."""
+    rows = [(i, "one, two", "en", "hot") for i in range(40)] + [(90, "other words here", "en", "cold"), (None, None, None, "cold")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in token_counts.whole(docs, str(tmp_path / "w")).collect()}
+    assert got == {
+        ("hot", "en", "words-1"): (40, 80), ("hot", "en", "words-2"): (40, 120),
+        ("cold", "en", "words-1"): (1, 3), ("cold", "en", "words-2"): (1, 3),
+        ("cold", None, "words-1"): (1, 0), ("cold", None, "words-2"): (1, 0),
+    }
+    assert "op1_token_counts_whole" in llm_queries()
+
+
 def test_empty_tables(spark, empty, labels, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     for made in (
