@@ -17,8 +17,10 @@ costs its square:
    one component being skipped against themselves. Large cells are dealt out in pairs of blocks.
    A pair then has to meet in as many cells as its sizes ask for.
 
-In both steps pairs that survive the bounds are verified on their whole sets. Links between
-classes of one component are not needed for the components and are not listed.
+In both steps pairs that survive the bounds are verified on their whole sets. Components need no
+more links than that. With them, every pair of classes inside a component is compared on the whole
+sets, in pairs of blocks, and each document gets the number of its links: its copies and the
+members of all linked classes. The pairs are counted where they are found and not written.
 
 Null or empty text, or one without words: an empty set, linked with nothing. A null id cannot
 name a component: such rows get the least id of the others, or null. Repeated rows: a row each.
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rigpulse.llm.common import release, saved, sliced
+from rigpulse.llm.common import release, saved, sliced, text_slices
 from rigpulse.llm.components import components
 from rigpulse.llm.words import mix, shingles
 
@@ -43,6 +45,8 @@ from rigpulse.llm.words import mix, shingles
 SIZE, PERCENT = 5, 75
 # Groups of the points, and groups whose frequencies order the shingles.
 GROUPS, FREQUENCY_GROUPS = 64, 1 << 16
+# Shingles of a block of a component, about; columns of a block of the counting matrix.
+BLOCK_SHINGLES, COLUMNS = 1 << 21, 4096
 # Points of an R-tree leaf, children of a node; classes of a block of a large cell.
 LEAF, FAN_OUT, BLOCK = 16, 8, 1024
 
@@ -415,8 +419,113 @@ def _tasks(rows: DataFrame) -> DataFrame:
     )
 
 
+def _common(h: np.ndarray, t: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """(len(a), len(b)) numbers of common shingles of texts a and b; h, t: distinct shingles."""
+    _, column, count = np.unique(h, return_inverse=True, return_counts=True)
+    kept = count > 1
+    column = np.where(kept, np.cumsum(kept) - 1, -1)[column]
+    order = np.argsort(column, kind="stable")
+    order = order[np.searchsorted(column[order], 0):]
+    column, text = column[order], t[order]
+    out = np.zeros((len(a), len(b)), np.int64)
+    n = int(max(a.max(), b.max())) + 1
+    for at in range(0, int(kept.sum()), COLUMNS):
+        i, j = np.searchsorted(column, (at, at + COLUMNS))
+        held = np.zeros((n, COLUMNS), np.float32)
+        held[text[i:j], column[i:j] - at] = 1
+        out += (held[a] @ held[b].T).astype(np.int64)
+    return out
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Deal the classes of each component (key, component, n, copies) to tasks (component, x, y)."""
+    size = rows.groupBy("component").agg(F.count("*").alias("_m"), F.sum("n").alias("_s"))
+    blocks = F.ceil(F.greatest(F.col("_m") / BLOCK, F.col("_s") / BLOCK_SHINGLES)).cast("int")
+    dealt = rows.join(size, "component").withColumn("_blocks", blocks).withColumn(
+        "_block", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    return dealt.select("*", other).select(
+        "component", F.least("_block", "_other").alias("x"), F.greatest("_block", "_other").alias("y"),
+        (F.col("_block") > F.col("_other")).cast("int").alias("side"), "key", "n", "copies",
+    )
+
+
+def link_counts(found: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, others): documents of other classes that each class links with.
+
+    found: node, component; classes: key, n, copies; texts: key, ztext. All links lie inside a
+    component, and each pair of classes meets in one task.
+    """
+    rows = classes.join(found.select(F.col("node").alias("key"), "component"), "key")
+
+    def work(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        side, n, copies = (table[c].to_numpy() for c in ("side", "n", "copies"))
+        same = table["x"][0].as_py() == table["y"][0].as_py()
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
+        others = np.zeros(len(n), np.int64)
+        if len(a) and len(b) and (not same or len(a) > 1):
+            squeeze, hs, ts, at = zstandard.ZstdDecompressor(), [], [], 0
+            for part in table.select(["ztext"]).combine_chunks().to_batches():
+                for piece in text_slices(part, "ztext"):
+                    texts = [squeeze.decompress(z).decode() for z in piece["ztext"].to_pylist()]
+                    h, t = shingles(pa.array(texts, pa.string()), SIZE)
+                    hs.append(h)
+                    ts.append(t + at)
+                    at += piece.num_rows
+            ok = linked(_common(np.concatenate(hs), np.concatenate(ts), a, b), n[a][:, None], n[b][None])
+            if same:
+                np.fill_diagonal(ok, False)
+            others[a] += ok @ copies[b]
+            if not same:
+                others[b] += copies[a] @ ok
+        return table["key"].to_numpy(), others
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch[c].to_numpy() for c in ("component", "x", "y")]
+            new = np.zeros(batch.num_rows, bool)
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+            out = []
+            for i, j in zip(starts, starts[1:]):
+                task = tuple(int(c[i]) for c in columns)
+                if held and task != now:
+                    out.append(work(pa.Table.from_batches(held)))
+                    held = []
+                now = task
+                held.append(batch.slice(i, j - i))
+            if out:
+                yield counted(out)
+        if held:
+            yield counted([work(pa.Table.from_batches(held))])
+
+    def counted(out: list) -> pa.RecordBatch:
+        key, others = (np.concatenate(c) for c in zip(*out))
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(others)], ["key", "others"])
+
+    # Small rows are dealt before they meet the texts, of which a repeated id leaves several.
+    met = _dealt(rows).join(texts.dropDuplicates(["key"]), "key").repartition("component", "x", "y").sortWithinPartitions(
+        "component", "x", "y"
+    )
+    each = met.select("component", "x", "y", "side", "key", "n", "copies", "ztext").mapInArrow(
+        run, "key long, others long"
+    )
+    return each.groupBy("key").agg(F.sum("others").alias("others"))
+
+
 def classified(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, key (of the set) and component_key of every document."""
+    return _classified(docs)[0]
+
+
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of classified(), the components (node, component), and texts of the classes."""
     made = saved(profiles(docs), "profiles")
     rows = made.where(F.col("kind") == 0)
     classes = rows.where(F.col("n") > 0).groupBy("key").agg(
@@ -469,21 +578,44 @@ def classified(docs: DataFrame) -> DataFrame:
     later = saved(_verified(more, texts), "links")
     found = components(links.unionAll(later))
     keyed = found.select(F.col("node").alias("key"), F.col("component").alias("component_key"))
-    return rows.select("doc_id", "n", "key").join(keyed, "key", "left").select(
+    made = rows.select("doc_id", "n", "key").join(keyed, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), "key",
         F.coalesce("component_key", "key").alias("component_key"),
     )
+    return made, found, texts
 
 
 def joined(docs: DataFrame) -> DataFrame:
     """The contract's columns: doc_id, n_shingles, component_id (the least id of the component)."""
-    rows = classified(docs)
+    return _named(classified(docs)).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_documents(docs: DataFrame) -> DataFrame:
+    """joined() with class_id (of equal sets) and n_links, the number of rows a row links with."""
+    rows, found, texts = _classified(docs)
+    release(docs.sparkSession)
+    classes = rows.where(F.col("n_shingles") > 0).groupBy("key").agg(
+        F.max("n_shingles").alias("n"), F.count("*").alias("copies")
+    )
+    counts = saved(link_counts(found, classes, texts), "counts")
+    release(docs.sparkSession)
+    links = classes.join(counts, "key", "left").select(
+        F.col("key").alias("_class"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("_links")
+    )
+    return _named(rows).join(links, F.col("key") == F.col("_class"), "left").select(
+        "doc_id", "n_shingles", "component_id", F.col("key").alias("class_id"),
+        F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, key and component_id of classified rows."""
     has = F.col("n_shingles") > 0
     least = rows.where(has).groupBy(F.col("component_key").alias("_k")).agg(
         F.min("doc_id").alias("_least")
     )
     return rows.join(least, has & (F.col("component_key") == F.col("_k")), "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "n_shingles", "key",
         F.when(has, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 

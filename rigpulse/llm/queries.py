@@ -69,7 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts_whole": _on("documents", shipped=False)(
         lambda docs: token_counts.whole(docs, scratch_dir(docs.sparkSession, "rollup"))
     ),
-    "op2_ngram_jaccard": _on("documents")(jaccard.joined),
+    "op2_ngram_jaccard": _on("documents")(jaccard.linked_documents),
     "op3_fingerprints": _on("documents")(spotsigs.fingerprints),
     "op4_personal_data": _on("documents", shipped=False)(pii.report),
     "op5_packing": _on("documents")(packing.packed_documents),

@@ -116,6 +116,31 @@ def test_jaccard_of_edited_copies(spark):
     assert sum(v == 0 for v in label.values()) > 60
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 7])
+def test_jaccard_counts_every_link(spark, docs, monkeypatch, block):
+    """Links inside a component, copies, and rows without words, against brute force."""
+    source = long_text(4, 90).split()
+    rng = np.random.default_rng(1)
+    rows = [(1000, " ".join(source)), (1001, " ".join(source)), (1002, " ".join(source).upper())]
+    for i in range(40):
+        w = list(source)
+        for k in rng.choice(90, i % 5, replace=False):
+            w[k] = f"new{i}x{k}"
+        rows.append((1100 + i, " ".join(w)))
+    both = docs.select("doc_id", "text").unionAll(spark.createDataFrame(rows, "doc_id long, text string"))
+    rows = both.collect()
+    sets = [shingles(r.text) for r in rows]
+    want = Counter(
+        (r.doc_id, sum(i != j and bool(a) and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)))
+        for i, (r, a) in enumerate(zip(rows, sets, strict=True))
+    )
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "COLUMNS", 64 if block == 7 else jaccard.COLUMNS)
+    got = jaccard.linked_documents(both).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == want
+    assert max(n for _, n in want) > 10
+
+
 @given(st.integers(0, 2**32), st.integers(2, 90))
 @settings(max_examples=25, deadline=None)
 def test_tree_search_finds_all_pairs(seed, n):
