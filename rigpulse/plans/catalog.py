@@ -494,6 +494,17 @@ def column_checks(w):
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+@_query
+def column_checks_derived(w):
+    """The other three tables with column rules."""
+    reports = [
+        _column_report(w.equipment(), "equipment"),
+        _column_report(w.alerts(), "alerts"),
+        _column_report(S.to_schema(w.daily_kpi(), DAILY_KPI), "daily_kpi"),
+    ]
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
 # Retention
 
 

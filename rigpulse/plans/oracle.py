@@ -778,6 +778,51 @@ def all_oracles() -> dict[str, str]:
         "sites",
         "logs",
     )
+    derived = {
+        "equipment": (
+            ("equipment_id", "site_id", "equipment_type", "service_interval_hrs", "active"),
+            {
+                "max_length:equipment_id": "length(equipment_id) > 20",
+                "max_length:site_id": "length(site_id) > 30",
+                "max_length:model": "length(model) > 100",
+                "max_length:manufacturer": "FALSE",
+                "max_length:serial_number": "FALSE",
+                "domain:equipment_type": (
+                    "equipment_type NOT IN ('haul_truck', 'drill_rig', 'excavator')"
+                ),
+            },
+        ),
+        "alerts": (
+            ("alert_id", "equipment_id", "site_id", "triggered_at", "alert_type", "severity",
+             "metric", "value", "threshold", "message"),
+            {
+                "max_length:equipment_id": "length(equipment_id) > 20",
+                "max_length:site_id": "length(site_id) > 30",
+                "max_length:alert_type": "length(alert_type) > 50",
+                "max_length:metric": "length(metric) > 50",
+                "max_length:acknowledged_by": "FALSE",
+                "domain:severity": "severity NOT IN ('WARNING', 'CRITICAL')",
+            },
+        ),
+        "kpis": (
+            ("equipment_id", "site_id", "kpi_date"),
+            {
+                "max_length:equipment_id": "length(equipment_id) > 20",
+                "max_length:site_id": "length(site_id) > 30",
+            },
+        ),
+    }
+    q["column_checks_derived"] = _with(
+        " UNION ALL ".join(
+            f"""SELECT '{rule}' AS rule, count(*) FILTER (WHERE {bad}) AS violations,
+                       '{"daily_kpi" if table == "kpis" else table}' AS checked FROM {table}"""
+            for table, (filled, rules) in derived.items()
+            for rule, bad in ({f"not_null:{c}": f"{c} IS NULL" for c in filled} | rules).items()
+        ),
+        "equipment",
+        "alerts",
+        "kpis",
+    )
 
     q["month_routing"] = _with(
         'SELECT partition_name, count(*) AS "rows" FROM routed GROUP BY ALL', "routed"

@@ -7,6 +7,7 @@ import pytest
 from rigpulse.plans.catalog import all_queries as queries
 from rigpulse.plans.oracle import all_oracles as oracle_sql
 from tests.helpers import plan
+from rigpulse.schemas import NOT_NULL
 from tests.oracle_check import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -42,3 +43,9 @@ def test_day_filter_reaches_the_events_scan(spark):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     assert differences(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) == []
+
+
+def test_column_checks_cover_all_tables(spark):
+    both = ("column_checks", "column_checks_derived")
+    got = {r.checked for name in both for r in queries()[name](spark, SF_DIR).collect()}
+    assert got == set(NOT_NULL)
