@@ -116,7 +116,8 @@ def alert_stats(alerts: DataFrame, as_of: str, hours: int = 24) -> DataFrame:
 
 
 def resolve(alerts: DataFrame, ids: DataFrame, as_of: str) -> DataFrame:
-    """Snapshot with the named alerts closed at ``as_of``; closed ones keep their first time."""
+    """Snapshot with the named alerts closed at ``as_of``; closed ones keep their first time.
+    ``rigpulse.sinks.alerts.resolve_stored`` does it in the stored table."""
     named = ids.select("alert_id").distinct().withColumn("_named", F.lit(True))
     closes = F.col("_named").isNotNull() & F.col("resolved_at").isNull()
     return (

@@ -33,12 +33,16 @@ from rigpulse.schemas import (
     TOPIC_ALERTS,
     TOPIC_SENSOR,
 )
-from rigpulse.session import scratch_dir
+from rigpulse.plans.jobs import run_maintenance
+from rigpulse.session import saved, scratch_dir
 from rigpulse.sinks import tables as S
+from rigpulse.sinks.alerts import resolve_stored
 from rigpulse.sources import decode as D
 from rigpulse.sources import tables as T
 from rigpulse.sources import warehouse as WH
+from rigpulse.sources.streams import RAW_MESSAGE, file_stream
 from rigpulse.streaming import jobs as J
+from rigpulse.streaming import totals as TO
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -618,6 +622,117 @@ def stream_dedupe(w):
     return portable(w.spark.read.parquet(f"{root}/events").drop("batch_id"))
 
 
+def _split_feed(w, root: str, parts: int) -> Callable[..., DataFrame]:
+    """The events as message files of ``parts`` slices by id; sending a slice adds its file, which
+    is a micro-batch of its own unless ``files`` go into one."""
+    messages = D.encode(w.events(), key="event_id")
+    slice_of = F.pmod(F.xxhash64("key"), F.lit(parts))
+    messages.withColumn("slice", slice_of).write.partitionBy("slice").parquet(f"{root}/sent")
+
+    def send(*slices: int, files: int = 1) -> DataFrame:
+        for i in slices:
+            rows = w.spark.read.schema(RAW_MESSAGE).parquet(f"{root}/sent/slice={i}")
+            rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        return file_stream(w.spark, f"{root}/in", max_files_per_trigger=files)
+
+    return send
+
+
+@_query
+def stream_live_deduped(w):
+    """Events sent again: in the same and in a later micro-batch, after a restart, and all once
+    more to a query begun anew without the first one's state. Each is stored once."""
+    root = scratch_dir(w.spark, "stream-deduped")
+    send = _split_feed(w, root, 3)
+
+    def run(stream, checkpoint):
+        J.drain(
+            J.live_query(stream, root, f"{root}/{checkpoint}/live", J.DRAIN),
+            J.archive_query(stream, f"{root}/archive", f"{root}/{checkpoint}/archive", J.DRAIN),
+        )
+
+    run(send(0, 1), "c")
+    run(send(1, 2), "c")
+    run(send(files=4), "begun-anew")
+    outputs = {
+        "readings": T.read_dated(w.spark, f"{root}/readings", SENSOR_READINGS, "recorded_at"),
+        "alerts": T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at"),
+        "archive": T.read_archive(w.spark, f"{root}/archive", _january(1), _january(31)),
+    }
+    found = None
+    for name, rows in outputs.items():
+        key = "alert_id" if name == "alerts" else "event_id"
+        part = rows.select(F.lit(name).alias("output"), F.col(key).alias("id"), "equipment_id")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _store_all_alerts(w) -> str:
+    """Flag alerts and device alerts through the stream, service alerts through the job."""
+    root = scratch_dir(w.spark, "all-alerts")
+    D.encode(w.events()).unionByName(_alert_messages(w)).write.parquet(f"{root}/in")
+    stream = file_stream(w.spark, f"{root}/in", max_files_per_trigger=4)
+    J.drain(J.live_query(stream, root, f"{root}/checkpoint", J.DRAIN))
+    run_maintenance(
+        w.readings(), w.equipment(), w.sites(), f"{root}/alerts", f"{root}/logs", WH.AS_OF
+    )
+    return root
+
+
+@_query
+def alerts_all_producers(w):
+    """Alerts of all three producers in one table, as the open list and as the KPI counts them."""
+    root = _store_all_alerts(w)
+    alerts = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
+    listed = A.open_alerts(alerts, w.sites(), WH.AS_OF).select(
+        F.lit("open").alias("part"), "equipment_id", F.col("alert_id").alias("item"), "severity",
+        F.lit(1).cast("bigint").alias("alerts"),
+    )
+    counted = K.daily_kpi(w.readings(), w.equipment(), alerts, WH.KPI_DAY)
+    kpi = counted.select(
+        F.lit("kpi").alias("part"), "equipment_id", F.lit(WH.KPI_DAY).alias("item"),
+        F.col("critical_alert_count").cast("string").alias("severity"),
+        F.col("alert_count").cast("bigint").alias("alerts"),
+    )
+    return listed.unionByName(kpi)
+
+
+@_query
+def resolve_written(w):
+    """Critical alerts of three days closed in the stored table, the same ones named twice."""
+    root = scratch_dir(w.spark, "resolved")
+    D.encode(w.events()).write.parquet(f"{root}/in")
+    stream = file_stream(w.spark, f"{root}/in", max_files_per_trigger=4)
+    J.drain(J.live_query(stream, root, f"{root}/checkpoint", J.DRAIN))
+    stored = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
+    grave = stored.where((F.col("severity") == "CRITICAL") & (F.dayofmonth("triggered_at") <= 3))
+    ids = saved(w.spark, grave.select("alert_id", "triggered_at"), "resolve-ids")
+    for moment in ("2024-01-30 00:00:00", WH.AS_OF):
+        resolve_stored(w.spark, f"{root}/alerts", ids, moment)
+    now = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
+    return portable(now.select("alert_id", "severity", "triggered_at", "resolved_at"))
+
+
+@_query
+def ingest_stats_standing(w):
+    """The header figures from totals, last day folders and the standing table, after a batch was
+    written again and alerts were closed; as ``ingest_stats`` would count them."""
+    root = scratch_dir(w.spark, "standing-totals")
+    send = _split_feed(w, root, 3)
+    for slices in ((0, 1), (2, 1)):
+        stream = send(*slices)
+        J.drain(
+            J.live_query(stream, root, f"{root}/live", J.DRAIN),
+            J.latest_query(stream, f"{root}/latest", f"{root}/newest", J.DRAIN),
+        )
+        TO.fold(w.spark, root)
+    stored = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
+    first = stored.where(F.dayofmonth("triggered_at") <= 3).select("alert_id", "triggered_at")
+    resolve_stored(w.spark, f"{root}/alerts", saved(w.spark, first, "resolve-ids"), WH.AS_OF)
+    newest = J.current_latest(w.spark, f"{root}/latest")
+    return portable(TO.ingest_stats_standing(w.spark, root, newest, w.equipment(), WH.AS_OF))
+
+
 @_query
 def stream_site_lookup(w):
     root = scratch_dir(w.spark, "stream-sites")

@@ -17,9 +17,11 @@ from rigpulse import schemas as C
 from rigpulse.operators import health, kpi, maintenance, quality, retention
 from rigpulse.session import build_session, scratch_dir
 from rigpulse.sinks import tables as sinks
+from rigpulse.sinks.alerts import resolve_stored
 from rigpulse.sources import tables as sources
 from rigpulse.sources.streams import kafka_stream
 from rigpulse.streaming import jobs as streams
+from rigpulse.streaming import totals
 
 
 def run_daily_kpi(
@@ -67,6 +69,7 @@ def run_maintenance(
     sinks.append_dated(
         sinks.absent_rows(fresh, stored, ["alert_id"]), alerts_path, "triggered_at"
     )
+    totals.recount_job_alerts(spark, alerts_path, datetime.fromisoformat(as_of).date())
 
     logs = sources.read_or_empty(
         lambda: spark.read.schema(C.MAINTENANCE_LOGS).parquet(logs_path), spark, C.MAINTENANCE_LOGS
@@ -79,6 +82,13 @@ def run_maintenance(
     return counts, maintenance.service_report(services)
 
 
+def run_health_check_standing(
+    spark: SparkSession, root: str, as_of: str, minimum: int = health.MIN_RECENT_ROWS
+) -> dict:
+    """The same verdict from totals and the newest day folders."""
+    return quality.require(totals.ingest_health_standing(spark, root, as_of, minimum), "healthy")
+
+
 def run_health_check(
     readings: DataFrame, alerts: DataFrame, as_of: str, minimum: int = health.MIN_RECENT_ROWS
 ) -> dict:
@@ -86,6 +96,14 @@ def run_health_check(
     return quality.require(health.ingest_health(readings, alerts, as_of, minimum), "healthy")
 
 
+def run_resolve(
+    spark: SparkSession, root: str, alert_ids: Sequence[str], as_of: str
+) -> int:
+    """Close alerts by id in the stored table; how many were open."""
+    ids = spark.createDataFrame([(i,) for i in alert_ids], "alert_id string")
+    return resolve_stored(spark, f"{root}/alerts", ids, as_of)
+
+
 def run_retention(
     readings: DataFrame,
     as_of: str,
@@ -129,7 +147,7 @@ def _moment(text: str) -> str:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Fleet telemetry jobs")
-    names = ["daily-kpi", "maintenance", "health", "retention", "stream"]
+    names = ["daily-kpi", "maintenance", "health", "retention", "resolve", "stream"]
     parser.add_argument("job", choices=names)
     parser.add_argument("--root", required=True, help="folder of the stored tables")
     parser.add_argument(
@@ -144,13 +162,21 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument(
         "--allow-data-loss", action="store_true", help="go on when the broker deleted offsets"
     )
+    parser.add_argument("--alert-id", nargs="+", help="alerts to close, for resolve")
+    parser.add_argument(
+        "--state-partitions", type=int, default=streams.STATE_PARTITIONS,
+        help="partitions of the stream's state, fixed by its first start",
+    )
     args = parser.parse_args(arguments)
+    if args.job == "resolve" and not args.alert_id:
+        parser.error("resolve needs --alert-id")
     if args.job == "stream" and not (args.servers and args.checkpoint):
         parser.error("the stream needs --servers and --checkpoint")
     if args.job == "stream":
-        spark = build_session("rigpulse-stream", **streams.STATE_STORE_CONF)
+        conf = {streams.STATE_PARTITIONS_KEY: str(args.state_partitions)}
+        spark = build_session("rigpulse-stream", **streams.STATE_STORE_CONF, **conf)
         messages = kafka_stream(
-            spark, args.servers, starting_offsets=args.starting_offsets,
+            spark, args.servers, topics=(C.TOPIC_SENSOR, C.TOPIC_ALERTS), starting_offsets=args.starting_offsets,
             max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions,
             fail_on_data_loss=not args.allow_data_loss,
         )
@@ -164,6 +190,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
         t = fleet_tables(spark, root, day)
         print(run_daily_kpi(t["readings"], t["equipment"], t["alerts"], f"{root}/daily_kpi", day))
         return
+    if args.job == "resolve":
+        print({"resolved": run_resolve(spark, root, args.alert_id, as_of)})
+        return
     t = fleet_tables(spark, root)
     if args.job == "maintenance":
         counts, report = run_maintenance(

@@ -297,6 +297,16 @@ _TABLES: dict[str, tuple[tuple[str, ...], str]] = {
         GROUP BY r.event_id
         """,
     ),
+    # Alerts of flags, devices and the service job in one table.
+    "every": (
+        ("flag_alerts", "alerts", "service_alert_rows"),
+        """
+        SELECT alert_id, equipment_id, site_id, triggered_at, severity FROM flag_alerts
+        UNION ALL SELECT alert_id, equipment_id, site_id, triggered_at, severity FROM alerts
+        UNION ALL SELECT alert_id, equipment_id, site_id, triggered_at, severity
+        FROM service_alert_rows
+        """,
+    ),
     "order_history": ((), "SELECT o_orderkey, o_orderdate AS recorded_at FROM orders"),
     "routed": (
         ("order_history",),
@@ -868,6 +878,47 @@ def all_oracles() -> dict[str, str]:
     q["stream_dedupe"] = _with(
         'SELECT event_id, equipment_id, "timestamp" FROM sensor_events', "sensor_events"
     )
+    q["stream_live_deduped"] = _with(
+        """SELECT 'readings' AS output, event_id AS id, equipment_id FROM sensor_events
+           UNION ALL SELECT 'archive', event_id, equipment_id FROM sensor_events
+           UNION ALL SELECT 'alerts', alert_id, equipment_id FROM flag_alerts""",
+        "sensor_events",
+        "flag_alerts",
+    )
+    q["alerts_all_producers"] = _with(
+        """SELECT 'open' AS part, equipment_id, alert_id AS item, severity, CAST(1 AS BIGINT) AS alerts
+           FROM every JOIN sites USING (site_id)
+           UNION ALL
+           SELECT 'kpi', k.equipment_id, '2024-01-10', CAST(count(*) FILTER (
+                      WHERE e.severity = 'CRITICAL') AS VARCHAR), count(e.alert_id)
+           FROM kpis k LEFT JOIN every e
+               ON e.equipment_id = k.equipment_id AND CAST(e.triggered_at AS DATE) = k.kpi_date
+           WHERE k.kpi_date = DATE '2024-01-10' GROUP BY k.equipment_id""",
+        "every",
+        "sites",
+        "kpis",
+    )
+    q["resolve_written"] = _with(
+        """SELECT alert_id, severity, triggered_at,
+                  CASE WHEN severity = 'CRITICAL' AND day(triggered_at) <= 3
+                       THEN TIMESTAMP '2024-01-30 00:00:00' END AS resolved_at
+           FROM flag_alerts""",
+        "flag_alerts",
+    )
+    q["ingest_stats_standing"] = _with(
+        f"""SELECT (SELECT count(*) FROM readings) AS total_readings,
+                   (SELECT count(*) FROM readings WHERE recorded_at >= {_AS_OF} - INTERVAL 1 HOUR)
+                       AS readings_last_hour,
+                   (SELECT count(*) FROM readings WHERE recorded_at >= {_AS_OF} - INTERVAL 5 MINUTE)
+                       AS readings_last_5min,
+                   (SELECT count(*) FROM flag_alerts WHERE day(triggered_at) > 3) AS open_alerts,
+                   (SELECT count(*) FROM flag_alerts WHERE day(triggered_at) > 3
+                        AND severity = 'CRITICAL') AS critical_alerts,
+                   (SELECT count(*) FROM latest WHERE status = 'fault') AS equipment_in_fault,
+                   (SELECT max(recorded_at) FROM readings) AS last_reading_at""",
+        "flag_alerts",
+        "latest",
+    )
     q["stream_site_lookup"] = q["site_lookup"]
     q["stream_all_tables"] = _with(
         """SELECT equipment_id, count(*) AS "rows", 'readings' AS output

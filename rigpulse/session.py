@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query relies on. Days are cut in UTC. Adaptive execution picks the
 # join side to broadcast from measured sizes and splits skewed join partitions, also where the
@@ -70,3 +70,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="rigpulse-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """The frame's rows as they are now, read back from the shared folder."""
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

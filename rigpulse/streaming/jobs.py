@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -9,11 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rigpulse.operators.alerts import flag_alerts
+from rigpulse.operators.alerts import ALERT_COLUMNS, flag_alerts, from_alert_events, unite
 from rigpulse.operators.enrich import enrich
 from rigpulse.operators.latest import first_per_key, latest_per_key
 from rigpulse.operators.windows import KEYS, sliding_stats
-from rigpulse.schemas import ALERT_DEFAULTS, ALERTS, SENSOR_READINGS
+from rigpulse.schemas import (
+    ALERT_DEFAULTS,
+    ALERTS,
+    ARCHIVE_PARTITIONS,
+    ARCHIVED_EVENT,
+    SENSOR_READINGS,
+    TOPIC_SENSOR,
+)
+from rigpulse.sinks.alerts import write_alerts
 from rigpulse.sinks.tables import (
     stored_readings,
     to_schema,
@@ -21,8 +30,11 @@ from rigpulse.sinks.tables import (
     write_batch,
     write_dated,
 )
-from rigpulse.sources.decode import decode, parse, quarantine, valid
+from rigpulse.sources import folders
+from rigpulse.sources.decode import DEVICE_ALERTS, SENSORS, decode, of_kind, parse_topics, quarantine
 from rigpulse.sources.tables import read_dated, read_or_empty, with_defaults
+from rigpulse.streaming.dedupe import ARRIVED, archive_folder, day_folder, first_arrivals, unseen
+from rigpulse.streaming.totals import write_batch_totals
 
 # How late an event may be, and how often each query runs.
 WATERMARK = "10 minutes"
@@ -30,6 +42,12 @@ LIVE_TRIGGER = "10 seconds"
 ARCHIVE_TRIGGER = "60 seconds"
 WINDOW_TRIGGER = "30 seconds"
 
+# Seconds a reader may take over a folder of the standing table after a newer one is complete.
+LATEST_GRACE = 600.0
+
+READINGS_STORED = folders.dated_schema(SENSOR_READINGS)
+ALERTS_STORED = folders.dated_schema(ALERTS)
+
 # State kept on local disk per executor and backed up to the checkpoint, for large fleets.
 STATE_STORE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -39,6 +57,12 @@ STATE_STORE_CONF = {
 }
 
 
+# A query's state keeps the number of partitions it was first started with, so the job sets it
+# before: about one for each core of a large cluster, not the default of 200.
+STATE_PARTITIONS_KEY = "spark.sql.shuffle.partitions"
+STATE_PARTITIONS = 1_000
+
+
 @dataclass(frozen=True)
 class Trigger:
     """Fixed interval, or all that is there and then stop when ``every`` is None."""
@@ -59,6 +83,24 @@ def sensor_stream(messages: DataFrame, *, dedupe: bool = False) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(["event_id"]) if dedupe else events
 
 
+# Batch numbers of one checkpoint; the next checkpoint that writes the same table starts above.
+GENERATION = 10**12
+
+
+def _generation(spark: SparkSession, checkpoint: str, root: str) -> int:
+    """How many other checkpoints wrote the table before this one; noted beside the table."""
+    stored = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    query, registry = json.loads(stored)["id"], f"{root}/_streams"
+    known = {}
+    for path in folders.hidden(spark, registry, done=False):
+        number, name = path.rsplit("/", 1)[1].split("_", 1)
+        known[name] = int(number)
+    if query not in known:
+        known[query] = max(known.values(), default=-1) + 1
+        folders.make(spark, f"{registry}/{known[query]}_{query}")
+    return known[query]
+
+
 def _start(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -66,10 +108,20 @@ def _start(
     trigger: Trigger,
     mode: str = "append",
     name: str | None = None,
+    root: str | None = None,
 ) -> StreamingQuery:
+    """Start the query. With ``root``, the table it writes, batches get numbers that no other
+    checkpoint used there, so a query begun anew adds to the table and replaces nothing."""
+    first: list[int] = []
+
+    def numbered(batch: DataFrame, batch_id: int) -> None:
+        if root is not None and not first:
+            first.append(GENERATION * _generation(batch.sparkSession, checkpoint, root))
+        write(batch, batch_id + (first[0] if first else 0))
+
     writer = (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(write)
+        .foreachBatch(numbered)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options())
     )
@@ -86,30 +138,73 @@ def _unless_empty(batch: DataFrame, write: Callable[[], None]) -> None:
         batch.unpersist()
 
 
-def alert_rows(enriched: DataFrame) -> DataFrame:
-    """Flag alerts as rows of the alerts table."""
-    return to_schema(with_defaults(flag_alerts(enriched), ALERT_DEFAULTS), ALERTS)
+def alert_rows(enriched: DataFrame, device: DataFrame | None = None) -> DataFrame:
+    """Flag alerts, and those devices sent, as rows of the alerts table."""
+    found = flag_alerts(enriched).select(*ALERT_COLUMNS)
+    if device is not None:
+        found = unite(found, from_alert_events(device))
+    return to_schema(with_defaults(found, ALERT_DEFAULTS), ALERTS)
 
 
 def live_query(
     messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(LIVE_TRIGGER)
 ) -> StreamingQuery:
-    """Readings, alerts and refused records from one read and one parse of the source."""
+    """Readings, alerts and refused records of both topics, from one read and one parse.
+
+    Alerts are those that the readings' flags give and those that devices send. An event or alert
+    sent again is stored once: see ``rigpulse.streaming.dedupe``. The batch's totals are written
+    last.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         def tables() -> None:
-            events = valid(batch)
-            write_dated(stored_readings(events), f"{root}/readings", "recorded_at", batch_id)
-            write_dated(alert_rows(events), f"{root}/alerts", "triggered_at", batch_id)
-            write_batch(quarantine(batch), f"{root}/quarantine", batch_id)
+            sent = of_kind(batch, 0, SENSORS)
+            events = unseen(
+                sent, f"{root}/readings", READINGS_STORED, "event_id", "timestamp",
+                day_folder("timestamp"), batch_id,
+            ).persist()
+            device = unseen(
+                of_kind(batch, 1, DEVICE_ALERTS), f"{root}/alerts", ALERTS_STORED, "alert_id",
+                "timestamp", day_folder("timestamp"), batch_id,
+            )
+            alerts = alert_rows(events, device).persist()
+            readings = stored_readings(events)
+            try:
+                write_dated(readings, f"{root}/readings", "recorded_at", batch_id)
+                write_alerts(alerts, f"{root}/alerts", batch_id)
+                for kind, name in ((SENSORS, "quarantine"), (DEVICE_ALERTS, "quarantine_alerts")):
+                    refused = batch.where(F.coalesce(F.col("_topic"), F.lit("")) == kind.topic)
+                    write_refused(refused, f"{root}/{name}", batch_id)
+                unknown = batch.where(F.col("problem") == "unknown_topic")
+                write_refused(unknown, f"{root}/quarantine_topics", batch_id)
+                write_batch_totals(readings, alerts, root, batch_id)
+            finally:
+                alerts.unpersist()
+                events.unpersist()
 
         _unless_empty(batch, tables)
 
-    return _start(parse(messages), write, checkpoint, trigger)
+    parsed = parse_topics(messages)
+    # Refused records have no id to trust; each is its own.
+    message = F.sha2(
+        F.concat_ws("\u0001", "_topic", "_key", F.base64("_value"), F.col("kafka_timestamp")), 256
+    )
+    once = F.when(F.col("problem").isNull(), F.concat_ws("\u0001", "_topic", "_id")).otherwise(message)
+    return _start(first_arrivals(parsed, once), write, checkpoint, trigger, root=root)
 
 
-def _slot(root: str, batch_id: int) -> str:
-    return f"{root}/slot={batch_id % 2}"
+def write_refused(parsed: DataFrame, path: str, batch_id: int) -> None:
+    """Refused records of a batch, none without any. A replay refuses the same records, so an empty
+    batch has no earlier rows to replace."""
+    refused = quarantine(parsed)
+    if not refused.isEmpty():
+        write_batch(refused, path, batch_id)
+
+
+def _finished(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Complete batch folders of the standing table, oldest first."""
+    found = [(int(n.removeprefix("batch_id=")), f"{root}/{n}") for n in folders.names(spark, root)]
+    return sorted((b, p) for b, p in found if folders.exists(spark, f"{p}/{folders.DONE}"))
 
 
 def latest_query(
@@ -119,47 +214,64 @@ def latest_query(
     trigger: Trigger = Trigger(LIVE_TRIGGER),
     *,
     seed: Callable[[SparkSession], DataFrame] | None = None,
+    grace: float = LATEST_GRACE,
 ) -> StreamingQuery:
     """A standing table of every machine's newest reading, so that the latest-state queries need
-    not scan the history. Two slots take turns: a batch reads the slot of the batch before it and
-    writes the other one, which a replay may repeat safely.
+    not scan the history. Each batch writes a folder of its own from the one before it; readers
+    take the newest complete one, and a folder is removed only when a newer one has been complete
+    for ``grace`` seconds, so nobody's files vanish or change while they read.
 
     ``seed`` gives the readings stored before the first batch, so that machines silent since then
     are in the table too; the first batch alone reads them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = stored_readings(batch)
-        if batch_id > 0:
-            reader = batch.sparkSession.read.schema(SENSOR_READINGS)
-            rows = rows.unionByName(reader.parquet(_slot(root, batch_id - 1)))
+        spark, mine = batch.sparkSession, f"{root}/batch_id={batch_id}"
+        if folders.exists(spark, f"{mine}/{folders.DONE}"):
+            return  # A replay of a batch that was completed: readers may be in its folder.
+        rows, before = stored_readings(batch), _finished(spark, root)
+        if before:
+            reader = spark.read.schema(SENSOR_READINGS)
+            rows = rows.unionByName(reader.parquet(before[-1][1]))
         elif seed is not None:
-            stored = seed(batch.sparkSession)
-            rows = rows.unionByName(stored.select(*SENSOR_READINGS.fieldNames()))
-        latest_per_key(rows).write.mode("overwrite").parquet(_slot(root, batch_id))
+            rows = rows.unionByName(seed(spark).select(*SENSOR_READINGS.fieldNames()))
+        latest_per_key(rows).write.mode("overwrite").parquet(mine)
+        for (_, old), (_, newer) in zip(before, before[1:]):
+            if folders.age(spark, newer) > grace:
+                folders.drop(spark, old)
 
-    return _start(decode(messages), write, checkpoint, trigger)
+    sensors = messages.where(F.col("topic") == TOPIC_SENSOR)
+    return _start(decode(sensors), write, checkpoint, trigger, root=root)
 
 
 def current_latest(spark: SparkSession, root: str) -> DataFrame:
-    """The newest reading per machine over both slots; readings columns.
+    """The newest reading per machine, of the newest complete folder; readings columns.
 
     Every latest-state query takes this frame in place of the history, which gives the same rows
-    from one row per machine and slot.
+    from one row per machine. The frame stays readable for the grace time of ``latest_query``.
     """
-    slots = spark.read.schema(SENSOR_READINGS).parquet(root)
-    return latest_per_key(slots.select(*SENSOR_READINGS.fieldNames()))
+    done = _finished(spark, root)
+    path = done[-1][1] if done else root
+    return spark.read.schema(SENSOR_READINGS).parquet(path)
 
 
 def archive_query(
     messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(ARCHIVE_TRIGGER)
 ) -> StreamingQuery:
-    """Enriched events into the archive, on its own slower clock to keep files large."""
+    """Enriched events into the archive, each once, on its own slower clock to keep files large."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _unless_empty(batch, lambda: write_archive(batch, root, batch_id))
+        def archive() -> None:
+            folder = archive_folder("timestamp", ARCHIVE_PARTITIONS[:-1])
+            fresh = unseen(
+                batch, root, ARCHIVED_EVENT, "event_id", "timestamp", folder, batch_id
+            )
+            write_archive(fresh.drop(ARRIVED), root, batch_id)
 
-    return _start(enrich(decode(messages)), write, checkpoint, trigger)
+        _unless_empty(batch, archive)
+
+    events = enrich(decode(messages.where(F.col("topic") == TOPIC_SENSOR)))
+    return _start(first_arrivals(events, F.col("event_id")), write, checkpoint, trigger, root=root)
 
 
 def window_query(
@@ -171,12 +283,13 @@ def window_query(
     dedupe: bool = False,
 ) -> StreamingQuery:
     """Changed windows of each trigger, appended as a version of the window table."""
-    stats = sliding_stats(enrich(sensor_stream(messages, dedupe=dedupe)))
+    sensors = messages.where(F.col("topic") == TOPIC_SENSOR)
+    stats = sliding_stats(enrich(sensor_stream(sensors, dedupe=dedupe)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
+        _unless_empty(batch, lambda: write_batch(batch, path, batch_id))
 
-    return _start(stats, write, checkpoint, trigger, mode="update")
+    return _start(stats, write, checkpoint, trigger, mode="update", root=path)
 
 
 def window_console(
@@ -242,8 +355,9 @@ def stored_so_far(spark: SparkSession, root: str) -> DataFrame:
 def run_all(
     messages: DataFrame, root: str, checkpoint: str, triggers: Sequence[Trigger] | None = None
 ) -> list[StreamingQuery]:
-    """The whole job: live tables, the standing latest table, archive, windows; each with a
-    checkpoint of its own. The triggers are those of the live tables, the archive, the windows."""
+    """The whole job over messages of both topics: live tables, the standing latest table, archive,
+    windows; each with a checkpoint of its own. The triggers are those of the live tables, the
+    archive, the windows."""
     live, archive, windows = triggers or (
         Trigger(LIVE_TRIGGER),
         Trigger(ARCHIVE_TRIGGER),
@@ -256,7 +370,7 @@ def run_all(
             seed=lambda spark: stored_so_far(spark, root),
         ),
         archive_query(messages, f"{root}/archive", f"{checkpoint}/archive", archive),
-        window_query(messages, f"{root}/windows", f"{checkpoint}/windows", windows),
+        window_query(messages, f"{root}/windows", f"{checkpoint}/windows", windows, dedupe=True),
     ]
 
 

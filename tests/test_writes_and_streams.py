@@ -261,7 +261,7 @@ def test_two_topics_in_one_query(spark):
         S.write_batch(S.stored_readings(D.decode(batch)), f"{out}/readings", batch_id)
 
     def write_alerts(batch, batch_id):
-        typed = D.valid(D.parse(batch, D.ALERT_EVENT, D.ALERT_REQUIRED), D.ALERT_EVENT)
+        typed = D.valid(D.parse(batch, D.ALERT_EVENT, D.ALERT_REQUIRED, ALERTS, "alerts"), D.ALERT_EVENT)
         S.write_batch(A.from_alert_events(typed), f"{out}/alerts", batch_id)
 
     writers = {TOPIC_SENSOR: write_sensors, TOPIC_ALERTS: write_alerts}
