@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from rigpulse.functions.time import bounded, trailing
 from rigpulse.schemas import HISTORY_COLUMNS, LATEST_COLUMNS
-from rigpulse.session import scratch_dir
 
-# monotonically_increasing_id keeps the partition number above the row number's 33 bits.
-POSITION_BITS = 33
+# Readings of one machine that are numbered together; a minute is at most some thousand of them.
+STRETCH = "minute"
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -78,32 +77,26 @@ def numbered(
 ) -> DataFrame:
     """Add ``ordinal``: 1, 2, 3 ... per key in (order, tie) order, also for a key with most rows.
 
-    A window would sort all rows of a key in one task. Here the rows are range-partitioned and
-    sorted on (key, order, tie), so a hot key spans many even partitions, and take their position
-    from that layout. The layout is written once, because both the row counts and the rows must
-    see the same one. A key's rows in a partition are consecutive: their ordinal is the distance
-    to the first of them plus the key's rows in earlier partitions. Rows without a key are left
-    out.
+    A window over the key would sort all rows of a key in one task. Here a key's rows are cut into
+    stretches of ``STRETCH``: the rows of each are counted, combined in each task first; a running
+    sum over a key's counts says how many rows lie before each stretch; and rows are numbered
+    inside their stretch. Rows are shuffled once, by key and stretch, for the join with the running
+    sums and for the numbering alike, so a hot key spans as many tasks as it has stretches. Rows
+    without a time come first, rows without a key are left out.
     """
-    laid_out = scratch_dir(readings.sparkSession, "numbered")
-    position = F.monotonically_increasing_id()
-    (
-        readings.repartitionByRange(key, order, tie)
-        .sortWithinPartitions(key, order, tie)
-        .withColumn("_position", position)
-        .withColumn("_part", F.shiftright("_position", POSITION_BITS))
-        .write.parquet(laid_out)
+    first = F.lit("0001-01-01").cast("timestamp")
+    stretch = F.coalesce(F.date_trunc(STRETCH, F.col(order)), first)
+    rows = readings.where(F.col(key).isNotNull()).withColumn("_stretch", stretch)
+    counts = rows.groupBy(key, "_stretch").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        key, "_stretch", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    rows = readings.sparkSession.read.parquet(laid_out)
-    runs = rows.groupBy(key, "_part").agg(
-        F.count("*").alias("_n"), F.min("_position").alias("_first")
-    )
-    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(key, "_stretch").orderBy(order, tie))
     return (
-        rows.join(starts.drop("_n"), [key, "_part"])
-        .withColumn("ordinal", F.col("_position") - F.col("_first") + F.col("_before") + 1)
-        .drop("_part", "_position", "_first", "_before")
+        rows.join(starts, [key, "_stretch"])
+        .withColumn("ordinal", inside + F.col("_before"))
+        .drop("_stretch", "_before")
     )
 
 

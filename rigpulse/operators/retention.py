@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime, timedelta
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rigpulse.functions.text import month_from_name, month_name
 from rigpulse.functions.time import month_start, ts
+from rigpulse.schemas import DAY_PARTITION
+from rigpulse.sinks.tables import overwrite_partitions
+from rigpulse.sources import folders
 from rigpulse.sources.tables import read_or_empty
 
 # Days kept, months with a partition of their own, name stem.
@@ -88,6 +92,119 @@ def _missing(spark: SparkSession, expired: DataFrame, archive_path: str) -> Data
     return expired.exceptAll(archived.join(months, _MONTH, "left_semi").select(*names))
 
 
+def _checksum(df: DataFrame) -> list[Column]:
+    """Rows, and a sum of row hashes that does not depend on their order."""
+    hashed = F.xxhash64(*df.columns).cast("decimal(20,0)")
+    return [F.count("*").alias("rows"), F.sum(hashed).alias("checksum")]
+
+
+def folder_plan(
+    spark: SparkSession,
+    path: str,
+    as_of: str,
+    days: int = RETENTION_DAYS,
+    *,
+    legacy: bool = False,
+    stem: str = STEM,
+    counts: Mapping[date, int] | None = None,
+) -> DataFrame:
+    """``retention_plan`` of a table kept by day, from folder names and stored counts alone. Rows
+    are null where nothing was counted. A folder belongs to the month of its date."""
+    found = sorted(folders.days(spark, path))
+    listed = spark.createDataFrame(
+        [(d, (counts or {}).get(d)) for d in found], "day date, counted long"
+    )
+    months = listed.groupBy(month_start(F.col("day")).alias("month")).agg(
+        F.sum("counted").alias("rows")
+    )
+    return months.select(
+        month_name(stem, F.col("month")).alias("partition_name"),
+        "month",
+        "rows",
+        _expired(F.col("month"), as_of, days, legacy).alias("expired"),
+    )
+
+
+def _copy_folders(
+    spark: SparkSession, path: str, archive_path: str, names: Sequence[str], schema: T.StructType,
+    cluster: Sequence[str],
+) -> None:
+    """Copy folders the archive does not have, in one scan, and compare what arrived."""
+    if not names:
+        return
+    seen = Observation()
+    rows = folders.read(spark, path, [f"{path}/{n}" for n in names], schema)
+    watched = rows.observe(seen, *_checksum(rows))
+    overwrite_partitions(watched, archive_path, [DAY_PARTITION, "batch_id"], cluster)
+    copied = folders.read(spark, archive_path, folders.present(spark, archive_path, names), schema)
+    there = copied.agg(*_checksum(copied)).first().asDict()
+    if there != seen.get:
+        raise ArchiveIncomplete(f"copied {seen.get}, found {there}")
+
+
+def _merge_folders(
+    spark: SparkSession, path: str, archive_path: str, names: Sequence[str], schema: T.StructType
+) -> None:
+    """Add what folders hold beyond those of the same name in the archive: an earlier run ended
+    after it had copied them."""
+    if not names:
+        return
+    mine = folders.read(spark, path, [f"{path}/{n}" for n in names], schema)
+
+    def missing() -> DataFrame:
+        there = folders.read(spark, archive_path, [f"{archive_path}/{n}" for n in names], schema)
+        return mine.exceptAll(there)
+
+    missing().write.mode("append").partitionBy(DAY_PARTITION, "batch_id").parquet(archive_path)
+    wrong = missing().limit(1).collect()
+    if wrong:
+        raise ArchiveIncomplete(str(wrong[0].asDict()))
+
+
+def expire_folders(
+    spark: SparkSession,
+    path: str,
+    archive_path: str,
+    schema: T.StructType,
+    as_of: str,
+    days: int = RETENTION_DAYS,
+    *,
+    legacy: bool = False,
+    cluster: Sequence[str] = (),
+    before_drop: Callable[[list[tuple[date, int]]], None] | None = None,
+) -> list[tuple[date, int]]:
+    """Move the folders of expired months of a table kept by day into an archive of the same
+    layout; the (day, batch) folders moved.
+
+    Folders that stay are neither opened nor written. Expired ones are read once, copied, compared
+    by the hashes of all rows, and dropped one by one; a run that ended anywhere in between is
+    completed by the next one, which copies nothing twice. Rows of an archived month that come late
+    are in a batch folder of their own and join the archive with the next run. ``before_drop`` is
+    told the folders before the first is dropped. Rows without a time never expire.
+    """
+    plan = folder_plan(spark, path, as_of, days, legacy=legacy).where("expired")
+    months = {r.month for r in plan.collect()}
+    gone = [
+        (day, batch, folder)
+        for day, at in folders.days(spark, path).items() if day.replace(day=1) in months
+        for batch, folder in folders.batches(spark, at).items()
+    ]
+    names = [f"{DAY_PARTITION}={day}/batch_id={batch}" for day, batch, _ in gone]
+    known = set(folders.present(spark, archive_path, names))
+    again = [n for n in names if f"{archive_path}/{n}" in known]
+    dated = folders.dated_schema(schema)
+    fresh = [n for n in names if n not in set(again)]
+    _copy_folders(spark, path, archive_path, fresh, dated, cluster)
+    _merge_folders(spark, path, archive_path, again, dated)
+    moved = [(day, batch) for day, batch, _ in gone]
+    if moved and before_drop is not None:
+        before_drop(moved)
+    for day, _, folder in gone:
+        folders.drop(spark, folder)
+        folders.drop_if_empty(spark, f"{path}/{DAY_PARTITION}={day}")
+    return moved
+
+
 def apply_retention(
     spark: SparkSession,
     df: DataFrame,
@@ -99,7 +216,8 @@ def apply_retention(
     *,
     legacy: bool = False,
 ) -> DataFrame:
-    """Add expired rows to the archive, compare rows, write the rest; returns the rows kept.
+    """Add expired rows to the archive, compare rows, write the rest; returns the rows kept. For
+    tables that are not kept by day; ``expire_folders`` moves folders and leaves the rest alone.
 
     Months without a partition of their own expire by their rows' time like all others; rows
     without a time are kept. The archive only grows: rows that it holds already (a run repeated

@@ -105,16 +105,21 @@ def run_resolve(
 
 
 def run_retention(
-    readings: DataFrame,
-    as_of: str,
-    archive_path: str,
-    keep_path: str,
-    days: int = retention.RETENTION_DAYS,
+    spark: SparkSession, root: str, as_of: str, days: int = retention.RETENTION_DAYS
 ) -> DataFrame:
-    """Archive what expired and write what stays; the plan that was carried out."""
-    spark = readings.sparkSession
-    retention.apply_retention(spark, readings, as_of, archive_path, keep_path, days=days)
-    return retention.retention_plan(readings, as_of, days=days)
+    """Move expired months of the readings from ``readings`` to ``expired``; the plan that was
+    carried out, with the counts from before. Totals leave the moved folders out."""
+    path = f"{root}/readings"
+    counts = totals.day_counts(spark, root)
+    plan = retention.folder_plan(spark, path, as_of, days, counts=counts).collect()
+    retention.expire_folders(
+        spark, path, f"{root}/expired", C.SENSOR_READINGS, as_of, days,
+        cluster=["equipment_id", "recorded_at"],
+        before_drop=lambda moved: totals.note_dropped(spark, root, moved),
+    )
+    return spark.createDataFrame(
+        plan, "partition_name string, month date, rows long, expired boolean"
+    )
 
 
 def fleet_tables(
@@ -202,10 +207,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
         print(counts)
         report.select("line").write.mode("overwrite").text(f"{root}/service_report")
     elif args.job == "health":
-        print(run_health_check(t["readings"], t["alerts"], as_of))
+        if totals.kept(spark, root):
+            print(run_health_check_standing(spark, root, as_of))
+        else:
+            print(run_health_check(t["readings"], t["alerts"], as_of))
     else:
-        plan = run_retention(t["readings"], as_of, f"{root}/expired", f"{root}/readings_kept")
-        plan.write.mode("overwrite").parquet(f"{root}/retention_plan")
+        run_retention(spark, root, as_of).write.mode("overwrite").parquet(f"{root}/retention_plan")
 
 
 if __name__ == "__main__":

@@ -849,11 +849,12 @@ def all_oracles() -> dict[str, str]:
     q["retention_plan_long_history"] = _with(
         _plan("order_history", _ORDERS_CUTOFF), "order_history"
     )
-    q["retention_apply"] = _with(
+    q["retention_apply"] = q["retention_rerun"] = _with(
         f"""SELECT o_orderkey, recorded_at,
-                   strftime(recorded_at, 'sensor_readings_%Y_%m') AS partition_name
-            FROM order_history
-            WHERE date_trunc('month', recorded_at) + INTERVAL 1 MONTH > {_ORDERS_CUTOFF}""",
+                   strftime(recorded_at, 'sensor_readings_%Y_%m') AS partition_name,
+                   CASE WHEN date_trunc('month', recorded_at) + INTERVAL 1 MONTH > {_ORDERS_CUTOFF}
+                        THEN 'kept' ELSE 'archived' END AS side
+            FROM order_history""",
         "order_history",
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rigpulse import schemas as C
 from rigpulse.operators.alerts import limit_alerts
-from rigpulse.operators import maintenance
+from rigpulse.operators import maintenance, retention
 from rigpulse.operators.enrich import enrich
 from rigpulse.operators.quality import GateFailed
 from rigpulse.operators.windows import sliding_stats_by_pane
@@ -15,7 +15,10 @@ from rigpulse.plans import jobs
 from rigpulse.session import RUNTIME_CONF, initial_partitions, scratch_dir
 from rigpulse.sinks.tables import to_schema
 from rigpulse.sources import decode as D
+from rigpulse.sources import folders
+from rigpulse.sources import tables as sources
 from rigpulse.streaming import jobs as J
+from rigpulse.streaming import totals as TO
 from tests.helpers import BASE, equipment, events, plan, readings, rows, sites
 
 T0 = datetime(2025, 1, 1)
@@ -148,12 +151,93 @@ def test_health_job(spark):
         jobs.run_health_check(frame, alerts, AS_OF, minimum=6)
 
 
+def _stored_months(spark, root):
+    """Readings of three months through the stream, a row for each day of some."""
+    times = [datetime(2025, m, d) for m in (1, 2, 6) for d in (1, 15, 28)]
+    D.encode(events(spark, *[{"event_id": f"r{i}", "timestamp": t} for i, t in enumerate(times)])).write.mode("append").parquet(f"{root}/in")
+    _stream_in(spark, root)
+
+
+def _stream_in(spark, root):
+    stream = spark.readStream.schema("key string, value binary, topic string, timestamp timestamp")
+    J.drain(J.live_query(stream.parquet(f"{root}/in"), root, f"{root}/c", J.DRAIN))
+
+
+def _ids(spark, path):
+    return rows(sources.read_dated(spark, path, C.SENSOR_READINGS, "recorded_at"), "event_id")
+
+
 def test_retention_job(spark):
     root = scratch_dir(spark, "retention-job")
-    plan_rows = jobs.run_retention(_day(spark), "2025-06-01 00:00:00", f"{root}/a", f"{root}/k")
-    assert rows(plan_rows, "partition_name", "rows", "expired") == [
-        ("sensor_readings_2025_01", 120, True)
+    _stored_months(spark, root)
+    before = TO.totals(spark, root).where("table = 'readings'").agg(F.sum("rows")).first()[0]
+    done = jobs.run_retention(spark, root, "2025-06-15 00:00:00")
+    assert rows(done, "partition_name", "rows", "expired") == [
+        ("sensor_readings_2025_01", 3, True),
+        ("sensor_readings_2025_02", 3, True),
+        ("sensor_readings_2025_06", 3, False),
     ]
+    assert _ids(spark, f"{root}/readings") == [(f"r{i}",) for i in (6, 7, 8)]
+    assert _ids(spark, f"{root}/expired") == [(f"r{i}",) for i in range(6)]
+    day = sources.read_dated(
+        spark, f"{root}/readings", C.SENSOR_READINGS, "recorded_at", datetime(2025, 6, 15), datetime(2025, 6, 16)
+    )
+    assert rows(day, "event_id") == [("r7",)]
+    after = TO.totals(spark, root).where("table = 'readings'").agg(F.sum("rows")).first()[0]
+    assert (before, after) == (9, 3)
+    # A late row of an archived day, then the job twice more.
+    D.encode(events(spark, {"event_id": "late", "timestamp": datetime(2025, 1, 15)})).write.mode("append").parquet(f"{root}/in")
+    _stream_in(spark, root)
+    for _ in range(2):
+        jobs.run_retention(spark, root, "2025-06-15 00:00:00")
+    assert _ids(spark, f"{root}/expired") == sorted([("late",), *[(f"r{i}",) for i in range(6)]])
+    assert TO.totals(spark, root).where("table = 'readings'").agg(F.sum("rows")).first()[0] == 3
+
+
+@pytest.mark.parametrize("at", ["note_dropped", "drop"])
+def test_retention_that_ended_in_between(spark, monkeypatch, at):
+    """After the copy, and after half of the folders were dropped."""
+    root = scratch_dir(spark, "retention-crash")
+    _stored_months(spark, root)
+    where, calls = (TO, []) if at == "note_dropped" else (folders, [])
+    real = getattr(where, at)
+
+    def failing(*args):
+        calls.append(args)
+        if at == "note_dropped" or len(calls) > 3:
+            raise OSError("stopped")
+        return real(*args)
+
+    monkeypatch.setattr(where, at, failing)
+    with pytest.raises(OSError):
+        jobs.run_retention(spark, root, "2025-06-15 00:00:00")
+    monkeypatch.setattr(where, at, real)
+    jobs.run_retention(spark, root, "2025-06-15 00:00:00")
+    assert _ids(spark, f"{root}/readings") == [(f"r{i}",) for i in (6, 7, 8)]
+    assert _ids(spark, f"{root}/expired") == [(f"r{i}",) for i in range(6)]
+    assert TO.totals(spark, root).where("table = 'readings'").agg(F.sum("rows")).first()[0] == 3
+
+
+def test_retention_opens_no_folder_that_stays(spark, tmp_path):
+    root = str(tmp_path / "t")
+    _stored_months(spark, root)
+    kept = next((tmp_path / "t/readings/on_day=2025-06-15").rglob("part-*.parquet"))
+    kept.write_bytes(b"not parquet")
+    for crc in kept.parent.glob(".*.crc"):
+        crc.write_bytes(b"")
+    jobs.run_retention(spark, root, "2025-06-15 00:00:00")
+    assert _ids(spark, f"{root}/expired") == [(f"r{i}",) for i in range(6)]
+    assert kept.read_bytes() == b"not parquet"
+
+
+def test_retention_refuses_a_copy_that_differs(spark, monkeypatch):
+    root = scratch_dir(spark, "retention-differs")
+    _stored_months(spark, root)
+    write = retention.overwrite_partitions
+    monkeypatch.setattr(retention, "overwrite_partitions", lambda df, *a: write(df.where("event_id <> 'r1'"), *a))
+    with pytest.raises(retention.ArchiveIncomplete):
+        jobs.run_retention(spark, root, "2025-06-15 00:00:00")
+    assert len(_ids(spark, f"{root}/readings")) == 9
 
 
 def test_kpi_job_from_streamed_tables(spark):
