@@ -44,7 +44,9 @@ from rigpulse.sources import tables as T
 from rigpulse.sources import warehouse as WH
 from rigpulse.sources.streams import RAW_MESSAGE, file_stream
 from rigpulse.streaming import jobs as J
+from rigpulse.streaming import late as LA
 from rigpulse.streaming import totals as TO
+from rigpulse.streaming.progress import ProgressLog, totals_by_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -778,6 +780,52 @@ def ingest_stats_standing(w):
     return portable(TO.ingest_stats_standing(w.spark, root, newest, w.equipment(), WH.AS_OF))
 
 
+def _run_with_late_rows(w) -> str:
+    """The events in three files by time, every seventh one a file later than its time; stored by
+    the live query, a file to a batch, and counted by the window query behind it."""
+    root = scratch_dir(w.spark, "late-rows")
+    third = F.least(F.floor((F.dayofmonth("timestamp") - 1) / 10), F.lit(2))
+    sent_in = F.when(F.col("event_id").cast("long") % 7 == 0, F.least(third + 1, F.lit(2)))
+    placed = w.events().withColumn("file", F.coalesce(sent_in, third))
+    held = saved(w.spark, placed, "late-events")
+    for n in range(3):
+        part = D.encode(held.where(F.col("file") == n))
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = file_stream(w.spark, f"{root}/in", max_files_per_trigger=1)
+    J.drain(J.live_query(stream, root, f"{root}/live", J.DRAIN, split_late=True))
+    J.drain(J.split_window_query(w.spark, root, f"{root}/split", J.DRAIN))
+    return root
+
+
+@_query
+def stream_late_rows(w):
+    """What came behind the watermark, from the side table."""
+    late = LA.late_events(w.spark, _run_with_late_rows(w))
+    return portable(late.select("event_id", "equipment_id", "timestamp", "has_anomaly"))
+
+
+@_query
+def stream_corrected_stats(w):
+    """Windows of the stream with the late rows added; the same as of the whole table at once."""
+    return portable(LA.corrected_windows(w.spark, _run_with_late_rows(w)))
+
+
+@_query
+def stream_progress(w):
+    """Batches and rows of the whole job's queries from their progress log."""
+    root = scratch_dir(w.spark, "stream-progress")
+    stream = _split_feed(w, root, 2)(0, 1)
+    log = ProgressLog(w.spark, f"{root}/progress")
+    w.spark.streams.addListener(log)
+    try:
+        J.drain(*J.run_all(stream, root, f"{root}/checkpoint", [J.DRAIN] * 3))
+        log.settle()
+    finally:
+        w.spark.streams.removeListener(log)
+    counted = totals_by_query(log.read())
+    return counted.select("query", "input_rows", "accepted", "refused")
+
+
 @_query
 def stream_site_lookup(w):
     root = scratch_dir(w.spark, "stream-sites")

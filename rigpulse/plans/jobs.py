@@ -22,6 +22,7 @@ from rigpulse.sources import tables as sources
 from rigpulse.sources.streams import kafka_stream
 from rigpulse.streaming import jobs as streams
 from rigpulse.streaming import totals
+from rigpulse.streaming.progress import ProgressLog, read_progress, stream_health
 
 
 def run_daily_kpi(
@@ -89,6 +90,13 @@ def run_health_check_standing(
     return quality.require(totals.ingest_health_standing(spark, root, as_of, minimum), "healthy")
 
 
+def run_stream_check(spark: SparkSession, root: str, as_of: str) -> dict:
+    """Whether the stream's queries go on and keep up, from the progress they log."""
+    day_before = str(datetime.fromisoformat(as_of).date() - timedelta(days=1))
+    progress = read_progress(spark, f"{root}/progress", day_before)
+    return quality.require(stream_health(progress, as_of), "flowing")
+
+
 def run_health_check(
     readings: DataFrame, alerts: DataFrame, as_of: str, minimum: int = health.MIN_RECENT_ROWS
 ) -> dict:
@@ -167,6 +175,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument(
         "--allow-data-loss", action="store_true", help="go on when the broker deleted offsets"
     )
+    parser.add_argument(
+        "--keep-late", action="store_true", help="set late events aside to correct windows"
+    )
     parser.add_argument("--alert-id", nargs="+", help="alerts to close, for resolve")
     parser.add_argument(
         "--state-partitions", type=int, default=streams.STATE_PARTITIONS,
@@ -185,7 +196,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
             max_offsets_per_trigger=args.max_offsets, min_partitions=args.min_partitions,
             fail_on_data_loss=not args.allow_data_loss,
         )
-        streams.run_all(messages, args.root, args.checkpoint)
+        spark.streams.addListener(ProgressLog(spark, f"{args.root}/progress"))
+        streams.run_all(messages, args.root, args.checkpoint, split_late=args.keep_late)
         spark.streams.awaitAnyTermination()
         return
 
@@ -209,6 +221,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif args.job == "health":
         if totals.kept(spark, root):
             print(run_health_check_standing(spark, root, as_of))
+            print(run_stream_check(spark, root, as_of))
         else:
             print(run_health_check(t["readings"], t["alerts"], as_of))
     else:

@@ -920,6 +920,28 @@ def all_oracles() -> dict[str, str]:
         "flag_alerts",
         "latest",
     )
+    q["stream_corrected_stats"] = q["sliding_stats"]
+    q["stream_late_rows"] = _with(
+        """SELECT event_id, equipment_id, "timestamp", has_anomaly
+           FROM (SELECT *, least(third + CAST(event_id::BIGINT % 7 = 0 AS INTEGER), 2) AS file
+                 FROM (SELECT s.*, f.has_anomaly,
+                              CAST(least(floor((day("timestamp") - 1) / 10), 2) AS INTEGER) AS third
+                       FROM sensor_events s JOIN flagged f USING (event_id))) e
+           WHERE "timestamp" < (
+               SELECT max("timestamp") FROM sensor_events x
+               WHERE least(CAST(least(floor((day(x."timestamp") - 1) / 10), 2) AS INTEGER)
+                           + CAST(x.event_id::BIGINT % 7 = 0 AS INTEGER), 2) < e.file
+           ) - INTERVAL 10 MINUTE""",
+        "sensor_events",
+        "flagged",
+    )
+    q["stream_progress"] = _with(
+        """SELECT name AS query, n AS input_rows, CASE name WHEN 'live' THEN n END AS accepted,
+                  CASE name WHEN 'live' THEN CAST(0 AS BIGINT) END AS refused
+           FROM (SELECT count(*) AS n FROM sensor_events),
+                (VALUES ('live'), ('latest'), ('archive'), ('windows')) AS t(name)""",
+        "sensor_events",
+    )
     q["stream_site_lookup"] = q["site_lookup"]
     q["stream_all_tables"] = _with(
         """SELECT equipment_id, count(*) AS "rows", 'readings' AS output

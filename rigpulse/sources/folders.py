@@ -57,6 +57,12 @@ def make(spark: SparkSession, path: str) -> None:
     files.mkdirs(at)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    files, at = _handle(spark, path)
+    if not files.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def drop(spark: SparkSession, path: str) -> None:
     files, at = _handle(spark, path)
     files.delete(at, True)

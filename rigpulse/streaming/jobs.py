@@ -34,6 +34,8 @@ from rigpulse.sources import folders
 from rigpulse.sources.decode import DEVICE_ALERTS, SENSORS, decode, of_kind, parse_topics, quarantine
 from rigpulse.sources.tables import read_dated, read_or_empty, with_defaults
 from rigpulse.streaming.dedupe import ARRIVED, archive_folder, day_folder, first_arrivals, unseen
+from rigpulse.streaming.late import on_time_stream, window_parts, write_split, write_window_parts
+from rigpulse.streaming.progress import watched
 from rigpulse.streaming.totals import write_batch_totals
 
 # How late an event may be, and how often each query runs.
@@ -147,13 +149,19 @@ def alert_rows(enriched: DataFrame, device: DataFrame | None = None) -> DataFram
 
 
 def live_query(
-    messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(LIVE_TRIGGER)
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: Trigger = Trigger(LIVE_TRIGGER),
+    *,
+    split_late: bool = False,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Readings, alerts and refused records of both topics, from one read and one parse.
 
     Alerts are those that the readings' flags give and those that devices send. An event or alert
     sent again is stored once: see ``rigpulse.streaming.dedupe``. The batch's totals are written
-    last.
+    last. ``split_late`` hands the events on to ``split_window_query`` and sets late ones aside.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -177,6 +185,8 @@ def live_query(
                     write_refused(refused, f"{root}/{name}", batch_id)
                 unknown = batch.where(F.col("problem") == "unknown_topic")
                 write_refused(unknown, f"{root}/quarantine_topics", batch_id)
+                if split_late:
+                    write_split(events, root, batch_id, WATERMARK)
                 write_batch_totals(readings, alerts, root, batch_id)
             finally:
                 alerts.unpersist()
@@ -184,13 +194,13 @@ def live_query(
 
         _unless_empty(batch, tables)
 
-    parsed = parse_topics(messages)
+    parsed = watched(parse_topics(messages))
     # Refused records have no id to trust; each is its own.
     message = F.sha2(
         F.concat_ws("\u0001", "_topic", "_key", F.base64("_value"), F.col("kafka_timestamp")), 256
     )
     once = F.when(F.col("problem").isNull(), F.concat_ws("\u0001", "_topic", "_id")).otherwise(message)
-    return _start(first_arrivals(parsed, once), write, checkpoint, trigger, root=root)
+    return _start(first_arrivals(parsed, once), write, checkpoint, trigger, name=name, root=root)
 
 
 def write_refused(parsed: DataFrame, path: str, batch_id: int) -> None:
@@ -215,6 +225,7 @@ def latest_query(
     *,
     seed: Callable[[SparkSession], DataFrame] | None = None,
     grace: float = LATEST_GRACE,
+    name: str | None = None,
 ) -> StreamingQuery:
     """A standing table of every machine's newest reading, so that the latest-state queries need
     not scan the history. Each batch writes a folder of its own from the one before it; readers
@@ -241,7 +252,7 @@ def latest_query(
                 folders.drop(spark, old)
 
     sensors = messages.where(F.col("topic") == TOPIC_SENSOR)
-    return _start(decode(sensors), write, checkpoint, trigger, root=root)
+    return _start(decode(sensors), write, checkpoint, trigger, name=name, root=root)
 
 
 def current_latest(spark: SparkSession, root: str) -> DataFrame:
@@ -256,7 +267,12 @@ def current_latest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def archive_query(
-    messages: DataFrame, root: str, checkpoint: str, trigger: Trigger = Trigger(ARCHIVE_TRIGGER)
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    trigger: Trigger = Trigger(ARCHIVE_TRIGGER),
+    *,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Enriched events into the archive, each once, on its own slower clock to keep files large."""
 
@@ -271,7 +287,8 @@ def archive_query(
         _unless_empty(batch, archive)
 
     events = enrich(decode(messages.where(F.col("topic") == TOPIC_SENSOR)))
-    return _start(first_arrivals(events, F.col("event_id")), write, checkpoint, trigger, root=root)
+    once = first_arrivals(events, F.col("event_id"))
+    return _start(once, write, checkpoint, trigger, name=name, root=root)
 
 
 def window_query(
@@ -281,6 +298,7 @@ def window_query(
     trigger: Trigger = Trigger(WINDOW_TRIGGER),
     *,
     dedupe: bool = False,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Changed windows of each trigger, appended as a version of the window table."""
     sensors = messages.where(F.col("topic") == TOPIC_SENSOR)
@@ -289,7 +307,19 @@ def window_query(
     def write(batch: DataFrame, batch_id: int) -> None:
         _unless_empty(batch, lambda: write_batch(batch, path, batch_id))
 
-    return _start(stats, write, checkpoint, trigger, mode="update", root=path)
+    return _start(stats, write, checkpoint, trigger, mode="update", name=name, root=path)
+
+
+def split_window_query(
+    spark: SparkSession, root: str, checkpoint: str, trigger: Trigger = Trigger(WINDOW_TRIGGER),
+    *, files: int | None = None, name: str | None = None,
+) -> StreamingQuery:
+    """Window statistics of the events a live query with ``split_late`` hands on, stored so that
+    late events can be added: read them with ``corrected_windows``."""
+    parts = window_parts(on_time_stream(spark, root, files), WATERMARK)
+    path = f"{root}/window_parts"
+    write = write_window_parts(path)
+    return _start(parts, write, checkpoint, trigger, mode="update", name=name, root=path)
 
 
 def window_console(
@@ -353,24 +383,42 @@ def stored_so_far(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_all(
-    messages: DataFrame, root: str, checkpoint: str, triggers: Sequence[Trigger] | None = None
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    triggers: Sequence[Trigger] | None = None,
+    *,
+    split_late: bool = False,
 ) -> list[StreamingQuery]:
     """The whole job over messages of both topics: live tables, the standing latest table, archive,
     windows; each with a checkpoint of its own. The triggers are those of the live tables, the
-    archive, the windows."""
+    archive, the windows. With ``split_late`` the windows follow the live tables and late events
+    are kept to correct them; else the windows read the messages and drop late events."""
     live, archive, windows = triggers or (
         Trigger(LIVE_TRIGGER),
         Trigger(ARCHIVE_TRIGGER),
         Trigger(WINDOW_TRIGGER),
     )
+    spark = messages.sparkSession
+    if split_late:
+        window = split_window_query(
+            spark, root, f"{checkpoint}/split-windows", windows, name="windows"
+        )
+    else:
+        window = window_query(
+            messages, f"{root}/windows", f"{checkpoint}/windows", windows, dedupe=True,
+            name="windows",
+        )
     return [
-        live_query(messages, root, f"{checkpoint}/live", live),
+        live_query(messages, root, f"{checkpoint}/live", live, split_late=split_late, name="live"),
         latest_query(
             messages, f"{root}/latest", f"{checkpoint}/latest", live,
-            seed=lambda spark: stored_so_far(spark, root),
+            seed=lambda spark: stored_so_far(spark, root), name="latest",
+        ),
+        archive_query(
+            messages, f"{root}/archive", f"{checkpoint}/archive", archive, name="archive"
         ),
-        archive_query(messages, f"{root}/archive", f"{checkpoint}/archive", archive),
-        window_query(messages, f"{root}/windows", f"{checkpoint}/windows", windows, dedupe=True),
+        window,
     ]
 
 

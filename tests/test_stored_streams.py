@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rigpulse.operators import alerts as A
 from rigpulse.operators import health as H
+from rigpulse.operators import windows as W
+from rigpulse.operators.enrich import enrich
 from rigpulse.operators.latest import latest_per_key
 from rigpulse.plans import jobs
 from rigpulse.schemas import ALERT_EVENT, ALERTS, SENSOR_READINGS, TOPIC_ALERTS
@@ -17,6 +19,8 @@ from rigpulse.sources import decode as D
 from rigpulse.sources import folders, tables
 from rigpulse.streaming import dedupe
 from rigpulse.streaming import jobs as J
+from rigpulse.streaming import late as LA
+from rigpulse.streaming import progress as P
 from rigpulse.streaming import totals as TO
 from tests.helpers import equipment, events, plan, rows, sites
 from tests.test_writes_and_streams import Feed, at
@@ -264,3 +268,80 @@ def test_latest_folders_do_not_change_under_a_reader(spark):
     step("e", 9, grace=-1)
     assert [b for b, _ in J._finished(spark, path)] == [3, 4]
     assert rows(J.current_latest(spark, path), "event_id") == [("e",)]
+
+
+def test_late_rows_are_set_aside_and_added(spark):
+    feed = Feed(spark)
+    out = f"{feed.root}/out"
+    parts = [
+        [{"event_id": "a", "timestamp": at(minutes=31)}, {"event_id": "b", "timestamp": at(minutes=2)}],
+        [{"event_id": "c", "timestamp": at(minutes=22)}, {"event_id": "late", "timestamp": at(minutes=3)},
+         {"event_id": "late too", "timestamp": at(minutes=20), "engine_temp_c": 130.0}],
+        [{"event_id": "late", "timestamp": at(minutes=3)}, {"event_id": "d", "timestamp": at(minutes=40)}],
+    ]
+    for part in parts:
+        feed.add(D.encode(events(spark, *part)))
+        J.drain(J.live_query(feed.stream(), out, f"{feed.root}/c", J.DRAIN, split_late=True))
+    assert rows(LA.late_events(spark, out), "event_id") == [("late",), ("late too",)]
+    # However the window query cuts the batches, its state drops nothing.
+    for files in (None, 1):
+        query = J.split_window_query(spark, out, f"{feed.root}/w{files}", J.DRAIN, files=files)
+        J.drain(query)
+        assert LA.dropped(query) == 0
+    # Without the split the state drops rows, as many as the progress rows say.
+    plain = J.window_query(feed.stream(), f"{out}/windows", f"{feed.root}/plain", J.DRAIN)
+    J.drain(plain)
+    assert LA.dropped(plain) > 0
+    unique = [c for part in parts[:2] for c in part] + parts[2][1:]
+    whole = W.sliding_stats_by_pane(enrich(events(spark, *unique)))
+    assert rows(LA.corrected_windows(spark, out), *W.WINDOW_COLUMNS) == rows(whole, *W.WINDOW_COLUMNS)
+
+
+def test_a_replayed_split_changes_nothing(spark):
+    out = scratch_dir(spark, "split-replay")
+    for n, minute in enumerate((31, 5)):
+        frame = events(spark, {"event_id": f"e{n}", "timestamp": at(minutes=minute)})
+        for _ in range(2):
+            LA.write_split(frame, out, n, J.WATERMARK)
+        TO.write_batch_totals(
+            J.stored_readings(frame), J.alert_rows(frame), out, n
+        )
+    assert rows(LA.late_events(spark, out), "event_id") == [("e1",)]
+    assert spark.read.parquet(f"{out}/on_time").count() == 1
+
+
+def test_offsets_and_lag_of_topics():
+    class Source:
+        startOffset = '{"sensor-events":{"0":5,"1":7}}'
+        endOffset = '{"sensor-events":{"0":9,"1":7}}'
+        latestOffset = '{"sensor-events":{"0":30,"1":7}}'
+
+    class Files:
+        startOffset, endOffset, latestOffset = None, '{"logOffset":3}', None
+
+    class Batch:
+        sources = [Source(), Files()]
+
+    assert P._offsets(Batch()) == [
+        (0, "sensor-events", "0", 5, 9, 30),
+        (0, "sensor-events", "1", 7, 7, 7),
+        (1, "", "logOffset", None, 3, None),
+    ]
+
+
+def test_stream_health_from_progress(spark):
+    def batch(query, number, at, end, latest):
+        return (query, query, number, at, 10, 1.0, 1.0, None, 0, 0, None, None, [(0, "t", "0", 0, end, latest)])
+
+    found = [
+        batch("live", 0, "2025-01-01T00:00:00.000Z", 5, 50),
+        batch("live", 1, "2025-01-01T00:09:00.000Z", 45, 50),
+        batch("live", 1, "2025-01-01T00:09:30.000Z", 45, 50),
+        batch("archive", 3, "2025-01-01T00:08:00.000Z", 50, 50),
+    ]
+    frame = spark.createDataFrame(found, P.PROGRESS)
+    assert rows(P.source_lag(frame), "query", "lag") == [("archive", 0), ("live", 5)]
+    assert rows(P.totals_by_query(frame), "query", "batches", "input_rows") == [("archive", 1, 10), ("live", 2, 20)]
+    for as_of, lag, flowing in (("2025-01-01 00:10:00", 5, True), ("2025-01-01 00:10:00", 4, False), ("2025-01-01 00:14:00", 5, False)):
+        assert P.stream_health(frame, as_of, most_lag=lag).first().flowing is flowing
+    assert P.stream_health(frame.limit(0), "2025-01-01 00:10:00").first().flowing is False
