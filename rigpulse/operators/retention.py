@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from rigpulse.functions.text import month_from_name, month_name
 from rigpulse.functions.time import month_start, ts
 from rigpulse.schemas import DAY_PARTITION
+from rigpulse.sinks.compaction import settle
 from rigpulse.sinks.tables import overwrite_partitions
 from rigpulse.sources import folders
 from rigpulse.sources.tables import read_or_empty
@@ -182,6 +183,7 @@ def expire_folders(
     are in a batch folder of their own and join the archive with the next run. ``before_drop`` is
     told the folders before the first is dropped. Rows without a time never expire.
     """
+    settle(spark, path)
     plan = folder_plan(spark, path, as_of, days, legacy=legacy).where("expired")
     months = {r.month for r in plan.collect()}
     gone = [

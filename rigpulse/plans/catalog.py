@@ -35,7 +35,7 @@ from rigpulse.schemas import (
     TOPIC_ALERTS,
     TOPIC_SENSOR,
 )
-from rigpulse.plans.jobs import run_maintenance
+from rigpulse.plans.jobs import run_compaction, run_maintenance
 from rigpulse.session import saved, scratch_dir
 from rigpulse.sinks import tables as S
 from rigpulse.sinks.alerts import resolve_stored
@@ -826,6 +826,23 @@ def stream_progress(w):
     return counted.select("query", "input_rows", "accepted", "refused")
 
 
+@_query
+def compacted_round_trip(w):
+    """Readings and alerts of all days, written in several batches and merged in between; a third
+    of them is sent again after it was merged. Some days wait to be put in place, others are."""
+    root = scratch_dir(w.spark, "compacted")
+    send = _split_feed(w, root, 3)
+    for slices in ((0, 1), (2, 0)):
+        stream = send(*slices)
+        J.drain(J.live_query(stream, root, f"{root}/live", J.DRAIN))
+        run_compaction(w.spark, root, "2024-01-31 12:00:00", grace=-1.0)
+    readings = T.read_dated(w.spark, f"{root}/readings", SENSOR_READINGS, "recorded_at")
+    alerts = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
+    return readings.select(
+        F.lit("readings").alias("output"), F.col("event_id").alias("id"), "equipment_id"
+    ).unionByName(alerts.select(F.lit("alerts").alias("output"), F.col("alert_id").alias("id"), "equipment_id"))
+
+
 @_query
 def stream_site_lookup(w):
     root = scratch_dir(w.spark, "stream-sites")

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from rigpulse import schemas as C
 from rigpulse.operators import health, kpi, maintenance, quality, retention
+from rigpulse.operators.windows import KEYS
 from rigpulse.session import build_session, scratch_dir
+from rigpulse.sinks import compaction
 from rigpulse.sinks import tables as sinks
 from rigpulse.sinks.alerts import resolve_stored
 from rigpulse.sources import tables as sources
@@ -130,6 +132,28 @@ def run_retention(
     )
 
 
+def run_compaction(
+    spark: SparkSession, root: str, as_of: str, grace: float = compaction.GRACE
+) -> dict:
+    """Merge days that are over by more than the watermark, and fold the totals; days by table."""
+    before = (datetime.fromisoformat(as_of) - timedelta(hours=1)).date()
+    newest = compaction.newest_versions([*KEYS, "window_start"])
+    chosen = {
+        "readings": (["equipment_id", "recorded_at"], None),
+        "alerts": (["equipment_id", "triggered_at"], None),
+        "late": (["equipment_id", "timestamp"], None),
+        "windows": (["equipment_id", "window_start"], newest),
+    }
+    done = {
+        name: compaction.compact(
+            spark, f"{root}/{name}", before, newest=pick, cluster=cluster, grace=grace
+        )
+        for name, (cluster, pick) in chosen.items()
+    }
+    totals.fold(spark, root)
+    return {name: [str(d) for d in days] for name, days in done.items()}
+
+
 def fleet_tables(
     spark: SparkSession, root: str, day: date | None = None
 ) -> Mapping[str, DataFrame]:
@@ -160,7 +184,7 @@ def _moment(text: str) -> str:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Fleet telemetry jobs")
-    names = ["daily-kpi", "maintenance", "health", "retention", "resolve", "stream"]
+    names = ["daily-kpi", "maintenance", "health", "retention", "resolve", "compact", "stream"]
     parser.add_argument("job", choices=names)
     parser.add_argument("--root", required=True, help="folder of the stored tables")
     parser.add_argument(
@@ -207,6 +231,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
         t = fleet_tables(spark, root, day)
         print(run_daily_kpi(t["readings"], t["equipment"], t["alerts"], f"{root}/daily_kpi", day))
         return
+    if args.job == "compact":
+        print(run_compaction(spark, root, as_of))
+        return
     if args.job == "resolve":
         print({"resolved": run_resolve(spark, root, args.alert_id, as_of)})
         return

@@ -942,6 +942,12 @@ def all_oracles() -> dict[str, str]:
                 (VALUES ('live'), ('latest'), ('archive'), ('windows')) AS t(name)""",
         "sensor_events",
     )
+    q["compacted_round_trip"] = _with(
+        """SELECT 'readings' AS output, event_id AS id, equipment_id FROM sensor_events
+           UNION ALL SELECT 'alerts', alert_id, equipment_id FROM flag_alerts""",
+        "sensor_events",
+        "flag_alerts",
+    )
     q["stream_site_lookup"] = q["site_lookup"]
     q["stream_all_tables"] = _with(
         """SELECT equipment_id, count(*) AS "rows", 'readings' AS output

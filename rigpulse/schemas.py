@@ -176,6 +176,26 @@ DAILY_KPI = _struct(
     ("avg_drill_rpm", T.DecimalType(8, 1)),
 )
 
+WINDOW_STATS = _struct(
+    ("equipment_id", TEXT),
+    ("site_id", TEXT),
+    ("equipment_type", TEXT),
+    ("avg_engine_temp", REAL),
+    ("max_engine_temp", REAL),
+    ("avg_vibration", REAL),
+    ("max_vibration", REAL),
+    ("avg_fuel_level", REAL),
+    ("min_fuel_level", REAL),
+    ("avg_oil_pressure", REAL),
+    ("avg_rpm", REAL),
+    ("avg_speed", REAL),
+    ("total_fuel_burn", REAL),
+    ("reading_count", LONG),
+    ("anomaly_count", LONG),
+    ("window_start", TIME),
+    ("window_end", TIME),
+)
+
 # The domains of the enumerated columns, in their sort order.
 EQUIPMENT_TYPES = ("haul_truck", "drill_rig", "excavator")
 STATUSES = ("operating", "idle", "maintenance", "fault")

@@ -10,11 +10,14 @@ from datetime import date
 
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rigpulse.schemas import DAY_PARTITION
 
 DONE = "_SUCCESS"
+# Hidden folder of a table with days that compaction has merged but not yet put in place.
+COMPACTING = "_compacting"
 
 
 def _handle(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
@@ -107,6 +110,44 @@ def batches(spark: SparkSession, day_folder: str) -> dict[int, str]:
     }
 
 
+def merged_days(spark: SparkSession, path: str) -> dict[date, tuple[int, str]]:
+    """Days that wait to be put in place: day -> (newest batch merged, folder)."""
+    found = {}
+    for day, at in days(spark, f"{path}/{COMPACTING}").items():
+        for name in names(spark, at):
+            if exists(spark, f"{at}/{name}/{DONE}"):
+                found[day] = int(name.removeprefix("upto=")), f"{at}/{name}"
+    return found
+
+
+def read_days(
+    spark: SparkSession, path: str, chosen: Iterable[date] | None, schema: T.StructType
+) -> DataFrame:
+    """Rows of some days of a table kept by day, of all days for None; ``schema`` names what to
+    read, on_day and batch_id among it. No other day's folder is listed. Days merged by compaction
+    come from the merged folder and the batches after it."""
+    present_days, merged = days(spark, path), merged_days(spark, path)
+    wanted = sorted({*present_days, *merged} if chosen is None else set(chosen))
+    paths = [present_days[d] for d in wanted if d in present_days and d not in merged]
+    undated = f"{path}/{DAY_PARTITION}=__HIVE_DEFAULT_PARTITION__"
+    if chosen is None and exists(spark, undated):
+        paths.append(undated)
+    for day in wanted:
+        if day in merged and day in present_days:
+            later = batches(spark, present_days[day]).items()
+            paths += [p for b, p in later if not 0 <= b <= merged[day][0]]
+    rows = read(spark, path, paths, schema)
+    for day in wanted:
+        if day in merged:
+            upto, folder = merged[day]
+            plain = T.StructType([f for f in schema.fields if f.name not in (DAY_PARTITION, "batch_id")])
+            part = spark.read.schema(plain).parquet(folder).withColumns(
+                {DAY_PARTITION: F.lit(day), "batch_id": F.lit(upto).cast("bigint")}
+            )
+            rows = rows.unionByName(part.select(*schema.fieldNames()))
+    return rows
+
+
 def dated_schema(schema: T.StructType) -> T.StructType:
     """A table's columns with those its folders add."""
     return T.StructType(

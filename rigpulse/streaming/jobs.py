@@ -21,6 +21,7 @@ from rigpulse.schemas import (
     ARCHIVED_EVENT,
     SENSOR_READINGS,
     TOPIC_SENSOR,
+    WINDOW_STATS,
 )
 from rigpulse.sinks.alerts import write_alerts
 from rigpulse.sinks.tables import (
@@ -300,12 +301,12 @@ def window_query(
     dedupe: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Changed windows of each trigger, appended as a version of the window table."""
+    """Changed windows of each trigger, added as a version to the window table, by day."""
     sensors = messages.where(F.col("topic") == TOPIC_SENSOR)
     stats = sliding_stats(enrich(sensor_stream(sensors, dedupe=dedupe)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _unless_empty(batch, lambda: write_batch(batch, path, batch_id))
+        _unless_empty(batch, lambda: write_dated(batch, path, "window_start", batch_id))
 
     return _start(stats, write, checkpoint, trigger, mode="update", name=name, root=path)
 
@@ -342,7 +343,9 @@ def window_console(
 def current_windows(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of every window."""
     newest = [F.col("batch_id").desc()]
-    return first_per_key(spark.read.parquet(path), [*KEYS, "window_start"], newest).drop("batch_id")
+    versions = folders.read_days(spark, path, None, folders.dated_schema(WINDOW_STATS))
+    current = first_per_key(versions, [*KEYS, "window_start"], newest)
+    return current.select(*WINDOW_STATS.fieldNames())
 
 
 def append_query(

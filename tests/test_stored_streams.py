@@ -345,3 +345,81 @@ def test_stream_health_from_progress(spark):
     for as_of, lag, flowing in (("2025-01-01 00:10:00", 5, True), ("2025-01-01 00:10:00", 4, False), ("2025-01-01 00:14:00", 5, False)):
         assert P.stream_health(frame, as_of, most_lag=lag).first().flowing is flowing
     assert P.stream_health(frame.limit(0), "2025-01-01 00:10:00").first().flowing is False
+
+
+def test_merged_days_read_the_same_at_every_step(spark):
+    feed = Feed(spark)
+    out = f"{feed.root}/out"
+    as_of = "2025-01-04 12:00:00"
+
+    def step(*changes):
+        feed.add(D.encode(events(spark, *changes)))
+        live(feed, out)
+
+    def seen():
+        return rows(stored(spark, out, "readings"), "event_id")
+
+    days = [{"event_id": f"d{d}", "timestamp": at(days=d), **HOT} for d in range(5)]
+    for part in (days, [{"event_id": f"x{d}", "timestamp": at(days=d)} for d in range(5)], [{"event_id": "y", "timestamp": at(days=4)}]):
+        step(*part)
+    before, path = seen(), f"{out}/readings"
+    assert len(before) == 11
+    assert jobs.run_compaction(spark, out, as_of, grace=600.0)["readings"] == ["2025-01-01", "2025-01-02", "2025-01-03"]
+    assert len(folders.batches(spark, f"{path}/on_day=2025-01-01")) == 2
+    # The merged folder counts from now on, also for the lookup of ids, whatever is left beside it.
+    folders.drop(spark, f"{path}/on_day=2025-01-01/batch_id=0")
+    assert seen() == before
+    step(days[0], days[1], {"event_id": "new", "timestamp": at(days=1)})
+    assert seen() == sorted([*before, ("new",)])
+    one = tables.read_dated(spark, path, SENSOR_READINGS, "recorded_at", at(days=1), at(days=2))
+    assert rows(one, "event_id") == [("d1",), ("new",), ("x1",)] and "on_day=2025-01-03" not in plan(one)
+    jobs.run_compaction(spark, out, as_of, grace=-1.0)
+    assert seen() == sorted([*before, ("new",)])
+    assert {d: len(folders.batches(spark, p)) for d, p in folders.days(spark, path).items() if d.day <= 3} == {
+        T0.date(): 1, at(days=1).date(): 2, at(days=2).date(): 1
+    }
+    assert folders.file_count(spark, f"{path}/on_day=2025-01-01") == 1
+    assert folders.merged_days(spark, path) == {}
+    # The newest batch stays apart: it may be replayed. Another batch lets it be merged as well.
+    step({"event_id": "z", "timestamp": at(days=4)})
+    jobs.run_compaction(spark, out, as_of, grace=600.0)
+    ids = saved(spark, stored(spark, out, "alerts").select("alert_id"), "ids")
+    assert SA.resolve_stored(spark, f"{out}/alerts", ids, as_of) == 10
+    jobs.run_retention(spark, out, "2025-06-01 00:00:00")
+    assert seen() == [] and folders.merged_days(spark, path) == {}
+    archived = tables.read_dated(spark, f"{out}/expired", SENSOR_READINGS, "recorded_at")
+    assert rows(archived, "event_id") == sorted([*before, ("new",), ("z",)])
+
+
+def test_compaction_that_ended_in_between(spark, monkeypatch):
+    feed = Feed(spark)
+    out = f"{feed.root}/out"
+    for n in range(3):
+        feed.add(D.encode(events(spark, {"event_id": f"a{n}", "timestamp": T0})))
+        live(feed, out)
+    before = rows(stored(spark, out, "readings"), "event_id")
+    jobs.run_compaction(spark, out, "2025-01-04 12:00:00")
+    rename = folders.rename
+    monkeypatch.setattr(folders, "rename", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.run_compaction(spark, out, "2025-01-04 12:00:00", grace=-1.0)
+    assert rows(stored(spark, out, "readings"), "event_id") == before
+    monkeypatch.setattr(folders, "rename", rename)
+    jobs.run_compaction(spark, out, "2025-01-04 12:00:00", grace=-1.0)
+    assert rows(stored(spark, out, "readings"), "event_id") == before
+
+
+def test_old_versions_of_windows_are_dropped(spark):
+    feed = Feed(spark)
+    path = f"{feed.root}/windows"
+    for n in range(4):
+        feed.add(D.encode(events(spark, {"event_id": f"e{n}", "timestamp": at(seconds=20 * n)})))
+        J.drain(J.window_query(feed.stream(), path, f"{feed.root}/c", J.DRAIN))
+    before = rows(J.current_windows(spark, path))
+    for grace in (600.0, -1.0):
+        jobs.run_compaction(spark, feed.root, "2025-01-04 12:00:00", grace=grace)
+        assert rows(J.current_windows(spark, path)) == before
+    versions = spark.read.parquet(path).groupBy("window_start").count()
+    assert versions.agg(F.max("count")).first()[0] == 2  # the merged one and the newest batch's
+    days = folders.days(spark, path).values()
+    assert max(len(folders.batches(spark, d)) for d in days) == 2
