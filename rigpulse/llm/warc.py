@@ -38,30 +38,50 @@ RECORD = (
 )
 
 
-def typed(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, payload_digest, payload_bytes, record_type, refers_to."""
+_KEY = ("_id", "url", "payload_digest")
+
+
+def _rows(pages: DataFrame) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
-        "page_id", F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload")
-    ).withColumns(
+        "page_id", F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload"),
+        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("_id"),
+    )
+    return rows.withColumns(
         {
             "payload_digest": F.sha2("payload", 256),
             "payload_bytes": F.octet_length("payload").cast("long"),
         }
     )
+
+
+def revisits(pages: DataFrame) -> DataFrame:
+    """(key of a page, page it refers to) of every page that is a revisit; no payload takes part."""
+    light = _rows(pages).where(F.col("payload_bytes") >= MIN_PAYLOAD).drop("payload")
     # Only payloads met more than once: few rows, aggregated before they are shuffled.
     first = (
-        rows.where(F.col("payload_bytes") >= MIN_PAYLOAD)
-        .groupBy(F.col("payload_digest").alias("_digest"))
-        .agg(F.min("page_id").alias("_first"), F.count("*").alias("_n"))
-        .where(F.col("_n") > 1)
+        light.groupBy("payload_digest")
+        .agg(F.min("page_id").alias("refers_to"), F.count("*").alias("_n"))
+        .where((F.col("_n") > 1) & F.col("refers_to").isNotNull())
     )
-    joined = rows.join(first, F.col("payload_digest") == F.col("_digest"), "left")
-    revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
+    other = ~F.col("page_id").eqNullSafe(F.col("refers_to"))
+    return light.join(first, "payload_digest").where(other).select(*_KEY, "refers_to").distinct()
+
+
+def typed(pages: DataFrame, parts: int | None = None) -> DataFrame:
+    """page_id, url, payload, payload_digest, payload_bytes, record_type, refers_to, dealt to
+    ``parts`` tasks.
+
+    The payload is shuffled once, by the page's key, which both deals the pages and joins them with
+    what was decided about them; url and digest in the key spread equal ids (null ones, say).
+    """
+    rows = _rows(pages)
+    dealt = rows.repartition(parts, *_KEY) if parts else rows
+    joined = dealt.join(revisits(pages).hint("shuffle_hash"), [*_KEY], "left")
     return joined.select(
         "page_id", "url", "payload", "payload_digest", "payload_bytes",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_first")).alias("refers_to"),
+        F.when(F.col("refers_to").isNotNull(), "revisit").otherwise("response").alias("record_type"),
+        "refers_to",
     )
 
 
@@ -189,9 +209,7 @@ def write(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> No
         make = lambda v: pa.RecordBatch.from_arrays([pa.array(v, pa.binary())], ["frame"])
         yield from _batches(((f, len(f)) for f in frames(rows)), 1 << 20, make)
 
-    # The random part spreads equal ids (null ones, say) over the archives.
-    spread = typed(pages).repartition(parts, F.xxhash64("page_id", "url"))
-    framed = spread.mapInArrow(run, "frame binary")
+    framed = typed(pages, parts).mapInArrow(run, "frame binary")
     framed.select(F.col("frame").cast("string").alias("value")).write.option(
         "lineSep", SEPARATOR
     ).option("compression", "none").text(path)
