@@ -239,6 +239,18 @@ def test_secrets(docs):
     assert "AKIAUYCD" not in joined and "25a0bc" not in joined and "ghp_" not in joined
 
 
+@pytest.mark.parametrize("secret", [
+    "ghp_" + "Zq" * 400, "xoxb-" + "9-" * 600, "sk_live_" + "Ab1" * 300,
+    "eyJ" + "a" * 9000 + "." + "b" * 5000 + "." + "c" * 70_000,
+    "-----BEGIN " + "RSA " * 30 + "PRIVATE KEY-----",
+])
+def test_secrets_of_any_length_go_whole(spark, secret):
+    rows = [(1, f"start {secret} end"), (2, None), (3, "plain")]
+    got = {r.doc_id: r.text for r in secret_scan.redacted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].startswith("start ") and got[1].endswith(" end") and len(got[1]) < 40
+    assert got[3] == "plain"
+
+
 def test_trigram_queries():
     assert secret_scan.trigram_query(r"[0-9a-f]+") is None
     assert set(secret_scan.trigram_query("ab?cdef")) == {frozenset({"abc", "bcd", "cde", "def"}), frozenset({"acd", "cde", "def"})}
