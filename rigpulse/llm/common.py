@@ -51,13 +51,15 @@ def text_slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.Reco
 
 
 def sliced(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text"):
-    """A mapInArrow function that applies ``work`` to each slice."""
+    """A mapInArrow function that applies ``work`` to each slice. What Arrow holds in reserve goes
+    back after every batch, since a worker serves many stages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, column):
                 if (out := work(part)) is not None and out.num_rows:
                     yield out
+            pa.default_memory_pool().release_unused()
 
     return run
 

@@ -29,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
-        n = max(n, 1 << 21)
+        n = max(n, 1 << 16, 2 * len(_powers[0]) if _powers else 0)
         inverse = pow(_BASE, -1, 1 << 64)
         made = []
         for base in (_BASE, inverse):
