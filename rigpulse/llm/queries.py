@@ -67,9 +67,6 @@ def _on(*names: str, shipped: bool = True):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": _on("documents", shipped=False)(
-        lambda docs: token_counts.maintained(docs, scratch_dir(docs.sparkSession, "rollup"))
-    ),
-    "op1_token_counts_whole": _on("documents", shipped=False)(
         lambda docs: token_counts.whole(docs, scratch_dir(docs.sparkSession, "rollup"))
     ),
     "op2_ngram_jaccard": _on("documents")(jaccard.linked_documents),
@@ -101,20 +98,8 @@ _WORDS_1 = r"[^\x20\x09-\x0D]+"
 _WORDS_2 = r"[A-Za-z0-9\x{80}-\x{10FFFF}]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]"
 
 ORACLES = {
-    "op1_token_counts": f"""
-        WITH kept AS (
-            SELECT d.* FROM documents d
-            WHERE NOT EXISTS (
-                SELECT 1 FROM (SELECT coalesce(text, '') AS t, min(doc_id) AS first
-                               FROM documents GROUP BY 1) f
-                WHERE f.t = coalesce(d.text, '') AND d.doc_id <> f.first)
-        )
-        SELECT source, lang, 'words-2' AS tokenizer, count(*) AS n_docs,
-               CAST(sum(len(regexp_extract_all(coalesce(text, ''), '{_WORDS_2}'))) AS BIGINT) AS n_tokens
-        FROM kept GROUP BY 1, 2
-    """,
     # Every document, under both versions.
-    "op1_token_counts_whole": " UNION ALL ".join(
+    "op1_token_counts": " UNION ALL ".join(
         f"""
         SELECT source, lang, '{version}' AS tokenizer, count(*) AS n_docs,
                CAST(sum(len(regexp_extract_all(coalesce(text, ''), '{pattern}'))) AS BIGINT) AS n_tokens
