@@ -13,19 +13,24 @@ Jobs that change stored rows call ``settle`` first; they and this job must not r
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rigpulse.operators.latest import first_per_key
 from rigpulse.schemas import DAY_PARTITION
 from rigpulse.sources import folders
 
 GRACE = 600.0
+_MERGING = "_merging-"
 # Rows of a day are dealt over files of about this many rows.
 FILE_ROWS = 5_000_000
 
+Pick = Callable[[DataFrame], DataFrame]
+
 
 def mergeable(spark: SparkSession, path: str, before: date, least: int = 2) -> dict[date, list[int]]:
     """Closed days with at least ``least`` batches that may be merged: all of the stream but the
@@ -37,18 +42,35 @@ def mergeable(spark: SparkSession, path: str, before: date, least: int = 2) -> d
 
 
 def _merge(
-    spark: SparkSession, path: str, day: date, ids: Sequence[int],
-    newest: Callable[[DataFrame], DataFrame] | None, cluster: Sequence[str],
+    spark: SparkSession, path: str, chosen: Mapping[date, Sequence[int]], newest: Pick | None,
+    cluster: Sequence[str],
 ) -> None:
-    at = f"{path}/{DAY_PARTITION}={day}"
-    rows = spark.read.option("basePath", at).parquet(*[f"{at}/batch_id={b}" for b in ids])
-    rows = (newest(rows) if newest else rows).drop("batch_id")
-    # Only names of expired attempts could be here: unfinished folders are written again.
-    target = f"{path}/{folders.COMPACTING}/{DAY_PARTITION}={day}/upto={max(ids)}"
-    spread = rows.hint("rebalance", *cluster[:1]) if cluster else rows.hint("rebalance")
-    if cluster:
-        spread = spread.sortWithinPartitions(*cluster)
-    spread.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(target)
+    """Merge the days in one job, then show each to readers with a mark of its own."""
+    for left in folders.hidden(spark, path, done=False):
+        if left.rsplit("/", 1)[1].startswith(_MERGING):
+            folders.drop(spark, left)  # of a run that ended before it was done
+    named = [f"{path}/{DAY_PARTITION}={d}/batch_id={b}" for d, ids in chosen.items() for b in ids]
+    rows = spark.read.option("basePath", path).parquet(*named)
+    rows = newest(rows) if newest else rows
+    last = spark.createDataFrame(
+        [(d, max(ids)) for d, ids in chosen.items()], f"{DAY_PARTITION} date, upto long"
+    )
+    parts = [DAY_PARTITION, "upto"]
+    spread = rows.drop("batch_id").join(last, DAY_PARTITION).hint("rebalance", *parts)
+    staged = f"{path}/{_MERGING}{uuid.uuid4().hex}"
+    (
+        spread.sortWithinPartitions(*parts, *cluster)
+        .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(*parts).parquet(staged)
+    )
+    for day, ids in chosen.items():
+        at = f"{DAY_PARTITION}={day}/upto={max(ids)}"
+        if folders.exists(spark, f"{staged}/{at}"):
+            target = f"{path}/{folders.COMPACTING}/{at}"
+            folders.drop(spark, target)  # shown to nobody without its mark
+            folders.make(spark, target.rsplit("/", 1)[0])
+            folders.rename(spark, f"{staged}/{at}", target)
+            folders.touch(spark, f"{target}/{folders.DONE}")
+    folders.drop(spark, staged)
 
 
 def settle(spark: SparkSession, path: str, grace: float = -1.0) -> list[date]:
@@ -72,7 +94,7 @@ def compact(
     path: str,
     before: date,
     *,
-    newest: Callable[[DataFrame], DataFrame] | None = None,
+    newest: Pick | None = None,
     cluster: Sequence[str] = (),
     grace: float = GRACE,
 ) -> list[date]:
@@ -84,12 +106,10 @@ def compact(
     settle(spark, path, grace)
     waiting = folders.merged_days(spark, path)
     chosen = {d: ids for d, ids in mergeable(spark, path, before).items() if d not in waiting}
-    for day, ids in chosen.items():
-        _merge(spark, path, day, ids, newest, cluster)
+    if chosen:
+        _merge(spark, path, chosen, newest, cluster)
     return sorted(chosen)
 
 
-def newest_versions(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
-    from rigpulse.operators.latest import first_per_key
-
+def newest_versions(keys: Sequence[str]) -> Pick:
     return lambda rows: first_per_key(rows, keys, [F.col("batch_id").desc()])

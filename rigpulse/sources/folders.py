@@ -60,6 +60,11 @@ def make(spark: SparkSession, path: str) -> None:
     files.mkdirs(at)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    files, at = _handle(spark, path)
+    files.create(at, True).close()
+
+
 def rename(spark: SparkSession, path: str, to: str) -> None:
     files, at = _handle(spark, path)
     if not files.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):

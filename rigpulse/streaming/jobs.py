@@ -313,11 +313,11 @@ def window_query(
 
 def split_window_query(
     spark: SparkSession, root: str, checkpoint: str, trigger: Trigger = Trigger(WINDOW_TRIGGER),
-    *, files: int | None = None, name: str | None = None,
+    *, name: str | None = None,
 ) -> StreamingQuery:
     """Window statistics of the events a live query with ``split_late`` hands on, stored so that
     late events can be added: read them with ``corrected_windows``."""
-    parts = window_parts(on_time_stream(spark, root, files), WATERMARK)
+    parts = window_parts(on_time_stream(spark, root), WATERMARK)
     path = f"{root}/window_parts"
     write = write_window_parts(path)
     return _start(parts, write, checkpoint, trigger, mode="update", name=name, root=path)
