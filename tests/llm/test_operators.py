@@ -474,7 +474,8 @@ def test_oracles(spark):
     import duckdb
 
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     for name, sql in llm_oracles().items():
         key = lambda rows: sorted(map(str, rows))
         got = llm_queries()[name](spark, SF)
