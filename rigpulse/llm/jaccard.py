@@ -15,7 +15,9 @@ costs its square:
    source of a group of edited copies); links found are contracted;
 2. cells that still hold several components are searched by an R-tree over their points, boxes of
    one component being skipped against themselves. Large cells are dealt out in pairs of blocks.
-   A pair then has to meet in as many cells as its sizes ask for.
+   Two near copies meet in most of their cells: a row brings the BEFORE cells its class has in
+   front of this one, and a pair that has one of them in common was found there. A pair then has
+   to meet in as many cells as its sizes ask for, counted once on the cells of both.
 
 In both steps pairs that survive the bounds are verified on their whole sets. Components need no
 more links than that. With them, every pair of classes inside a component is compared on the whole
@@ -49,6 +51,8 @@ GROUPS, FREQUENCY_GROUPS = 64, 1 << 16
 BLOCK_SHINGLES, COLUMNS = 1 << 21, 4096
 # Points of an R-tree leaf, children of a node; classes of a block of a large cell.
 LEAF, FAN_OUT, BLOCK = 16, 8, 1024
+# Earlier cells of its class that a row brings into the search.
+BEFORE = 8
 
 PROFILE = "kind int, doc_id long, key long, n long, point binary"
 
@@ -271,16 +275,39 @@ def _cell_pairs(key, label, side, x, y, cell, p) -> Iterator[tuple[np.ndarray, n
             yield (a[a < b], b[a < b]) if same else (a, b)
 
 
+def _padded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, BEFORE) values, short lists filled with their last one, and which lists have any."""
+    n = lists.value_lengths().to_numpy()
+    has = n > 0
+    at = lists.offsets.to_numpy()[:-1, None] + np.minimum(np.arange(BEFORE), n[:, None] - 1)
+    out = np.zeros((len(n), BEFORE), np.int64)
+    out[has] = lists.values.to_numpy()[at[has]]
+    return out, has
+
+
+def _met_before(before: np.ndarray, has: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows i and j have a cell in front of this one in common."""
+    out = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 15):
+        a, b = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+        same = (before[a][:, :, None] == before[b][:, None, :]).any(axis=(1, 2))
+        out[at : at + (1 << 15)] = same & has[a] & has[b]
+    return out
+
+
 def _searched(rows: DataFrame) -> DataFrame:
-    """(a, b, na, nb, met): surviving pairs of different components, and in how many cells."""
+    """(a, b, na, nb): distinct surviving pairs of different components."""
     names = ("key", "label", "side", "x", "y")
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         columns = [table[n].to_numpy() for n in names]
         key = columns[0]
         p = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS)
+        before, has = _padded(pa.concat_arrays(table["before"].chunks))
         size = p.sum(axis=1, dtype=np.int64)
         for i, j in _cell_pairs(*columns, table["cell"].to_numpy(), p):
+            new = ~_met_before(before, has, i, j)
+            i, j = i[new], j[new]
             if len(i):
                 swap = key[i] > key[j]
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
@@ -304,17 +331,28 @@ def _searched(rows: DataFrame) -> DataFrame:
             yield from work(pa.Table.from_batches(held))
 
     tasks = rows.repartition("cell", "x", "y").sortWithinPartitions("cell", "x", "y")
-    found = tasks.select("cell", *names, "point").mapInArrow(run, f"{PAIR}, na long, nb long")
-    return found.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
+    found = tasks.select("cell", *names, "point", "before").mapInArrow(run, f"{PAIR}, na long, nb long")
+    return found.distinct()
+
 
+def _before(rows: DataFrame) -> DataFrame:
+    """Rows (cell, key, ...) with the BEFORE cells that come before theirs in the class, by number."""
+    by = Window.partitionBy("key").orderBy("cell")
+    return rows.withColumn("before", F.collect_list("cell").over(by.rowsBetween(-BEFORE, -1)))
 
-def _enough_met(pairs: DataFrame) -> DataFrame:
-    """The pairs that meet in enough cells to be able to link.
+
+def _enough_met(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs that meet in enough cells to be able to link; rows: (cell, key) of the search.
 
     Of two sets, take the one whose prefix ends first in the common order: what they share lies in
     cells of both, or behind that prefix. So the overlap is at most the cells met plus the longer
     of the two rests.
     """
+    # A class has at most as many cells as its prefix has shingles.
+    own = rows.groupBy("key").agg(F.collect_list("cell").alias("cells"))
+    side = lambda c: own.select(F.col("key").alias(c), F.col("cells").alias(f"c{c}"))
+    met = F.size(F.array_intersect("ca", "cb"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", met.alias("met"))
     rest = lambda n: F.ceil(F.col(n) * PERCENT / 100) - 1
     most = F.col("met") + F.greatest(rest("na"), rest("nb"))
     enough = 100 * most >= PERCENT * (F.col("na") + F.col("nb") - most)
@@ -416,6 +454,7 @@ def _tasks(rows: DataFrame) -> DataFrame:
     return dealt.select("*", other).select(
         "cell", F.least("_block", "_other").alias("x"), F.greatest("_block", "_other").alias("y"),
         (F.col("_block") > F.col("_other")).cast("int").alias("side"), "key", "label", "point",
+        "before",
     )
 
 
@@ -572,8 +611,10 @@ def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     several = labelled.groupBy("cell").agg(
         F.min("label").alias("_least"), F.max("label").alias("_most"), F.count("*").alias("_m")
     ).where((F.col("_least") != F.col("_most")) & (F.col("_m") > 2)).select("cell")
-    open_ = labelled.join(several, "cell", "left_semi").join(classes.select("key", "point"), "key")
-    more = saved(_enough_met(_searched(_tasks(open_))), "pairs")
+    open_ = saved(labelled.join(several, "cell", "left_semi"), "open")
+    release(spark)
+    met = _searched(_tasks(_before(open_).join(classes.select("key", "point"), "key")))
+    more = saved(_enough_met(met, open_), "pairs")
     release(spark)
     later = saved(_verified(more, texts), "links")
     found = components(links.unionAll(later))

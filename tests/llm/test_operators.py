@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -159,6 +160,48 @@ def test_tree_search_finds_all_pairs(seed, n):
     assert {x for x in got if x[0] != x[1]} == want
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 9])
+def test_cells_find_each_pair_once(spark, monkeypatch, block):
+    """Classes that meet in many cells: no pair is lost, few are found twice, cells are counted whole."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    r = np.random.default_rng(5)
+    held = r.random((40, 60)) < 0.6
+    held[3] = False
+    held[3, 7] = True  # a class with one cell
+    p = np.full((40, jaccard.GROUPS), 1, "<u4")
+    rows = [(int(c) * 977 % 61 - 30, int(k)) for k, c in zip(*np.nonzero(held))]
+    label = [k % 4 for k in range(40)]
+    open_ = spark.createDataFrame(rows, "cell long, key long").repartition(7)
+    known = spark.createDataFrame(
+        [(k, label[k], p[k].tobytes()) for k in range(40)], "key long, label long, point binary"
+    )
+    found = jaccard._searched(jaccard._tasks(jaccard._before(open_).join(known, "key")))
+    want = {
+        (a, b) for a in range(40) for b in range(a + 1, 40)
+        if label[a] != label[b] and (held[a] & held[b]).any()
+    }
+    got = [tuple(x) for x in found.select("a", "b").collect()]
+    assert len(got) == len(want) and set(got) == want
+    size = 64
+    enough = {
+        (a, b) for a, b in want
+        for most in [int((held[a] & held[b]).sum()) + 47]
+        if 100 * most >= 75 * (2 * size - most)
+    }
+    got = [tuple(x) for x in jaccard._enough_met(found, open_).collect()]
+    assert len(got) == len(enough) and set(got) == enough
+
+
+def test_rows_remember_cells_before_theirs():
+    lists = pa.array([[], [3], [1, 2, 3, 4, 5, 6, 7, 8], [9, 8]], pa.list_(pa.int64()))
+    before, has = jaccard._padded(lists.slice(0))
+    assert has.tolist() == [False, True, True, True]
+    i, j = np.array([0, 1, 2, 1, 0]), np.array([1, 2, 3, 3, 0])
+    assert jaccard._met_before(before, has, i, j).tolist() == [False, True, True, False, False]
+    again, _ = jaccard._padded(lists.slice(2))
+    assert (again == before[2:]).all()
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
