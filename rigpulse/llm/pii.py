@@ -1,13 +1,15 @@
 """Personal data: candidate spans scored by boosted trees, all in native expressions.
 
 Four strict patterns give the base spans. Loose generators propose further, overlapping
-candidates; each is described by a few small binned features of its format and its left context.
-Counts of every feature combination over all documents (a table bounded by the product of the
-bins) are the sufficient statistics on which the driver boosts shallow regression trees with
-logistic loss, a candidate counting as positive when it coincides with a base span. A part of the
-documents is held out to calibrate one threshold per kind. The trees become nested WHEN
-expressions, so scoring runs inside Spark; candidates over the threshold that overlap no base
-span of their kind are added to the base spans.
+candidates, also disguised ones: mails with (at) and (dot), addresses with [.], cards with dots or
+of 13 to 15 digits, national phone numbers. Each is described by a few small binned features of
+its format and its left context. Counts of every feature combination over all documents (a table
+bounded by the product of the bins) are the sufficient statistics on which the driver boosts
+shallow regression trees with logistic loss. A candidate is positive when its plain form, without
+the disguise, is a valid value by evidence of its own (see ``_evidence``); whether a base pattern
+matches there is not asked. A part of the documents is held out to calibrate one threshold per
+kind. The trees become nested WHEN expressions, so scoring runs inside Spark; candidates over the
+threshold that overlap no base span of their kind are added to the base spans.
 
 Null or empty text: no spans. Repeated rows and equal ids: a result row each. Null ids: kept.
 """
@@ -35,20 +37,29 @@ BASE = {
 
 # Loose generators of candidates by kind.
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+"
-    r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}+){1,8}+",
-    "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){2,5}+(?![0-9])",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++"
+    r"(?:(?:\.| ?\(dot\) ?| ?\[dot\] ?)[A-Za-z0-9-]++)++",
+    "ip": r"(?<![0-9.])[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}){2,5}+(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ .-]?[0-9]){12,18}+(?![0-9])",
     "phone": r"(?<![0-9])[+(]?[0-9](?:[ ().-]{0,3}[0-9]){6,14}+(?![0-9])",
 }
+# Usual ends of mail domains, numbers by card issuer, forms of phone numbers.
+DOMAINS = r"\.(?i:com|org|net|edu|gov|mil|int|info|biz|io|co|me|eu|uk|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|ie|us|ca|mx|br|ar|au|nz|jp|cn|kr|in|ru|ua|tr|za|example|test)$"
+ISSUERS = (
+    r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|5[1-5][0-9]{14}|2[2-7][0-9]{14}|3[47][0-9]{13}|3[068][0-9]{12}"
+    r"|6(?:011|[45][0-9]{2})[0-9]{12})$"
+)
+PHONES = (
+    r"^(?:\+|00)[1-9]|^(?:1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}$"
+)
 HINTS = r"(?i)(mail|phone|tel|call|fax|mobil|card|visa|pay|addr|host|server|contact)"
 CONTEXT = 24
 SEPARATORS = "[^A-Za-z0-9]"
 
 # Feature: number of bins.
 FEATURES = {
-    "kind": 4, "n_digits": 6, "length": 5, "separators": 5, "checked": 2, "opened": 3, "hint": 2,
-    "spaced": 2,
+    "kind": 4, "n_digits": 6, "length": 5, "separators": 5, "checked": 2, "usual": 2, "opened": 3,
+    "hint": 2, "spaced": 2,
 }
 MAX_COMBINATIONS = int(np.prod(list(FEATURES.values())))
 
@@ -85,6 +96,35 @@ def _bin(value: Column, *edges: int) -> Column:
     return sum((value >= e).cast("int") for e in edges)
 
 
+def _plain(hit: Column, kind: str) -> Column:
+    """A candidate without its disguise."""
+    if kind == "email":
+        at = F.regexp_replace(hit, r" ?(?:@|\(at\)|\[at\]) ?", "@")
+        return F.regexp_replace(at, r" ?(?:\(dot\)|\[dot\]) ?", ".")
+    if kind == "ip":
+        return F.regexp_replace(hit, r"\[\.\]|\(\.\)|\[dot\]|\(dot\)", ".")
+    return hit
+
+
+def _evidence(hit: Column, kind: str) -> tuple[Column, Column]:
+    """Whether the plain form is well formed, and whether it is a usual value.
+
+    email: a name, an @ and a domain; a usual end. ip: parts to 255; four parts. card: the Luhn
+    check; an issuer's first digits and length. phone: 8 to 15 digits; an international prefix or the groups
+    of a national number.
+    """
+    plain, number = _plain(hit, kind), digits(hit)
+    return {
+        "email": (plain.rlike(r"^[A-Za-z0-9_%+-][^@ ]*@[^@ ]+\.[A-Za-z]{2,}$"), plain.rlike(DOMAINS)),
+        "ip": (
+            F.forall(F.split(plain, r"\."), lambda p: p.try_cast("int") <= 255),
+            F.size(F.split(plain, r"\.")) == 4,
+        ),
+        "card": (luhn(number), number.rlike(ISSUERS)),
+        "phone": (F.char_length(number).between(8, 15), hit.rlike(PHONES)),
+    }[kind]
+
+
 def _candidates(text: Column, kind: str, base: Column) -> Column:
     """array<struct<rank, start, end, kind, features..., label>>"""
     rank = KINDS.index(kind)
@@ -96,12 +136,10 @@ def _candidates(text: Column, kind: str, base: Column) -> Column:
         left = F.substring(
             text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT))
         )
-        checked = {
-            "email": hit.rlike(r"\.[A-Za-z]{2,}$"),
-            "ip": F.forall(F.split(hit, r"\."), lambda p: p.try_cast("int") <= 255),
-            "card": luhn(number),
-            "phone": n.between(8, 15),
-        }[kind]
+        checked, usual = (F.coalesce(e, F.lit(False)) for e in _evidence(hit, kind))
+        hinted = left.rlike(HINTS)
+        # A lone @ between words is no mail; with a hint in front of it, it may be.
+        sure = ~F.contains(hit, F.lit(" @")) & ~F.contains(hit, F.lit("@ ")) | hinted
         return F.struct(
             F.lit(rank).alias("rank"), s["start"].alias("start"), s["end"].alias("end"),
             F.lit(kind).alias("kind"),
@@ -111,15 +149,14 @@ def _candidates(text: Column, kind: str, base: Column) -> Column:
                 _bin(size, 10, 16, 22, 32).alias("length"),
                 _bin(F.char_length(F.regexp_replace(hit, "[A-Za-z0-9]", "")), 1, 2, 3, 5)
                 .alias("separators"),
-                F.coalesce(checked, F.lit(False)).cast("int").alias("checked"),
+                checked.cast("int").alias("checked"),
+                usual.cast("int").alias("usual"),
                 F.when(F.startswith(hit, F.lit("+")), 2)
                 .when(F.startswith(hit, F.lit("(")), 1).otherwise(0).alias("opened"),
-                left.rlike(HINTS).cast("int").alias("hint"),
+                hinted.cast("int").alias("hint"),
                 F.contains(hit, F.lit(" ")).cast("int").alias("spaced"),
             ).alias("f"),
-            F.exists(
-                base, lambda b: (b["start"] == s["start"]) & (b["end"] == s["end"])
-            ).cast("int").alias("label"),
+            (checked & usual & sure).cast("int").alias("label"),
             F.exists(
                 base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])
             ).alias("overlaps"),
@@ -218,13 +255,14 @@ def statistics(found: DataFrame) -> DataFrame:
 
 
 def fit(
-    found: DataFrame, trees: int = 12, depth: int = 2, rate: float = 0.4, ridge: float = 1.0,
+    found: DataFrame, trees: int = 16, depth: int = 3, rate: float = 0.4, ridge: float = 1.0,
     precision: float = 0.9, least: int = 5,
 ) -> Model:
     """Boost on the statistics of all documents; at most 2 * MAX_COMBINATIONS rows reach the driver.
 
     A kind's threshold is the lowest score at which held-out candidates of its kind reach the
-    precision; a kind with fewer than ``least`` held-out positives adds nothing.
+    precision. With fewer than ``least`` held-out positives of its kind, those of all kinds set it,
+    and where these are as few, all candidates do. Without any positive nothing is added.
     """
     rows = statistics(found).collect()
     x = {n: np.array([r[n] for r in rows], int) for n in FEATURES}
@@ -244,14 +282,16 @@ def fit(
         )
     raw = np.round(model.raw(x), 6)
     for rank, kind in enumerate(KINDS):
-        own = held & (x["kind"] == rank)
+        own = next(
+            (m for m in (held & (x["kind"] == rank), held) if pos[m].sum() >= least), n > 0
+        )
         best = None
         for cut in sorted(set(raw[own]), reverse=True):
             over = own & (raw >= cut)
             if pos[over].sum() < precision * n[over].sum():
                 break
             best = float(cut)
-        model.thresholds[kind] = best if pos[own].sum() >= least else None
+        model.thresholds[kind] = best
     return model
 
 

@@ -251,15 +251,35 @@ def test_personal_data(docs):
         assert set(filter(None, joined.split(","))) <= set(r.spans.split(","))
 
 
-def test_boosting_adds_what_looks_alike(spark):
-    """Candidates in the format and context of base spans, but no base spans themselves."""
-    rows = [(i, f"call phone +1 ({200 + i % 700}) 555-0{100 + i % 800} now, order {1000000 + i}") for i in range(400)]
+def test_boosting_adds_disguised_data_and_leaves_look_alikes(spark):
+    """Every kind in a form that no base pattern takes, beside plain forms and what only looks like it."""
+    disguised = [
+        ("email", "ann.lee%d (at) example%d (dot) com"), ("email", "bo%d[at]mail%d[dot]example[dot]org"),
+        ("ip", "10[.]%d[.]3[.]%d"), ("card", "4111.1111.1111.1111"), ("card", "3782 822463 10005"),
+        ("phone", "(212) 555-0174"), ("phone", "415-555-0133"),
+    ]
+    plain = "ask ann%d@example%d.com or +49 30 1234567 from 10.0.0.1 with 4402904885986090"
+    alike = "we meet @ noon.x%d, order 2125550174, part 1.2.%d, 1234.5678.9012.3456, build 11.22.33, code 1700000000000"
+    rows, want = [], {}
+    for i in range(240):
+        n = (i % 90 + 1, i % 80 + 1)
+        kind, form = disguised[i % 7]
+        hit = form % n if "%" in form else form
+        before = f"{plain % n}; {alike % n}; then "
+        rows.append((i, before + hit + " end"))
+        want[i] = f"{kind}:{len(before)}:{len(before) + len(hit)}"
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.report(made).collect():
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == (1, 1, 1, 1)
+        added = set(r.spans.split(","))
+        assert want[r.doc_id] in added and r.n_added == 1 and len(added) == 5, (r, rows[r.doc_id])
+
+
+def test_boosting_without_positives_adds_nothing(spark):
+    rows = [(i, f"order 2125550{100 + i} and 1234.5678.9012.3456") for i in range(40)]
     found = pii.described(spark.createDataFrame(rows, "doc_id long, text string")).cache()
-    model = pii.fit(found)
-    assert model.thresholds["phone"] is not None
-    got = pii.found_spans(found, model).collect()
-    assert all(len(r.base) == 1 for r in got)
     assert pii.statistics(found).count() <= 2 * pii.MAX_COMBINATIONS
+    assert all(not r.added and not r.base for r in pii.found_spans(found, pii.fit(found)).collect())
 
 
 def test_secrets(docs):
