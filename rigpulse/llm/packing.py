@@ -122,21 +122,26 @@ def pack(made: DataFrame, size: int = SIZE, task_bins: int = TASK_BINS) -> DataF
     final = [items.where(F.col("fill") >= size)]
     open_ = items.where(F.col("fill") < size)
     parts = max(1, open_.rdd.getNumPartitions())
-    before = None
+    before, turn = None, 0
     while True:
+        # Bins that this round may see together, and the fewest partitions that hold them all.
+        given = open_.count() if before is None and parts == 1 else before
+        fewest = -(-given // task_bins) if given is not None else 0
         packed = saved(_round(open_, size, task_bins), "packing")
         left = packed.where(F.col("fill") < full_from)
         n = left.count()
-        # Closing: one partition has seen all open bins together, or a round at the widest merge
-        # brought nothing more (bins over half full that only smaller pieces could fill).
-        if parts == 1 or not n or (n > task_bins and before is not None and n > 0.99 * before):
+        # Closing: one task has seen all open bins together, or the widest merge, its bins dealt
+        # anew, brought nothing more (bins over half full that only smaller pieces could fill).
+        together = parts == 1 and fewest <= 1
+        if together or not n or (turn and parts <= fewest and n > 0.99 * before):
             final.append(packed)
             break
         final.append(packed.where(F.col("fill") >= full_from))
-        fewest = -(-n // task_bins)
-        parts = max(fewest, parts // FAN_IN, 1)
-        # Salted by chance, so that a merged partition gets bins of every fill.
-        open_ = left.repartition(parts, F.xxhash64(F.col("members")[0]))
+        parts = max(-(-n // task_bins), parts // FAN_IN, 1)
+        turn += 1
+        # Salted by chance and by the round, so that a merged partition gets bins of every fill and
+        # other ones each time.
+        open_ = left.repartition(parts, F.xxhash64(F.lit(turn), F.col("members")[0]))
         before = n
     bins = final[0]
     for more in final[1:]:

@@ -393,6 +393,20 @@ def test_packing_in_rounds(spark):
     assert max(ends.values()) <= packing.SIZE
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_packing_in_chunks_is_as_tight(spark, parts):
+    """One partition with long items first and short ones last, in chunks of one sort; and several mixed ones.
+
+    Partitions of one sort each stay looser: their bins are merged whole, as the method has it.
+    """
+    rows = [(i, 0, 0, 1400 if i < 300 else 640, i) for i in range(600)]
+    made = spark.createDataFrame(rows, packing.PIECE).coalesce(1)
+    made = made if parts == 1 else made.repartition(parts, "doc_id")
+    count = lambda n: packing.pack(made, task_bins=n).select("sequence_id").distinct().count()
+    assert count(1000) <= (300 if parts == 1 else 315)
+    assert count(100) <= 315
+
+
 def test_bpe(docs):
     from tokenizers import Tokenizer
 
