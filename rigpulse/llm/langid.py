@@ -33,6 +33,8 @@ HIDDEN, WIDTH = 8, 64
 # from a document and the code points they are drawn from. Predictions read whole texts.
 PER_LANGUAGE, LANGUAGES, WINDOWS, SAMPLE_CHARS = 200, 64, 6, 1 << 16
 EPOCHS, BATCH, RATE = 8, 256, 0.01
+# Calibration of the least score: documents of a language, share of the right ones that counts.
+CHECKED, SHARE = 50, 0.99
 
 
 @dataclass
@@ -234,17 +236,59 @@ def labelled_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
     ).where(F.col("_lang") == F.col("lang")).select("doc_id", "text", "lang")
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
-    """Train on the bounded sample; rows with held-out ids are never read for it."""
+def sample_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple]:
+    """(doc_id, beginning of the text, lang) of the bounded sample, in order; no held-out id."""
     cut = F.substring("text", 1, SAMPLE_CHARS).alias("text")
     rows = (
         labelled_sample(docs, per_language).select("doc_id", cut, "lang")
         .limit(2 * per_language * LANGUAGES).collect()
     )
-    rows = sorted({(r["doc_id"], r["text"], r["lang"]) for r in rows})
+    return sorted({(r["doc_id"], r["text"], r["lang"]) for r in rows})
+
+
+def _trained(rows: list[tuple]) -> Network | None:
     return train([r[1] for r in rows], [r[2] for r in rows]) if rows else None
 
 
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
+    """Train on the bounded sample; rows with held-out ids are never read for it."""
+    return _trained(sample_rows(docs, per_language))
+
+
+def least_score(
+    net: Network, texts: list[str], labels: list[str], share: float = SHARE
+) -> float:
+    """The score halfway between chance and what ``share`` of the rightly named texts reach.
+
+    Both ends fall as more languages are learned, so the bound goes with their number. Without a
+    rightly named text it is chance.
+    """
+    chance = 1 / len(net.languages)
+    right = []
+    for at in range(0, len(texts), 64):
+        p = predict(net, pa.array(texts[at : at + 64], pa.string()))
+        for row, label in zip(p, labels[at : at + 64], strict=True):
+            best = int(row.argmax())
+            if net.languages[best] == label:
+                right.append(float(row[best]))
+    return (chance + float(np.quantile(right, 1 - share))) / 2 if right else chance
+
+
+def calibrated(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, checked: int = CHECKED
+) -> tuple[Network | None, float]:
+    """The network of fit() and its least score, from ``checked`` documents of each language."""
+    rows = sample_rows(docs, per_language)
+    net = _trained(rows)
+    if net is None:
+        return None, 0.0
+    of: dict[str, list[tuple]] = {}
+    for row in rows:
+        of.setdefault(row[2], []).append(row)
+    chosen = [row for lang in net.languages for row in of[lang][:checked]]
+    return net, least_score(net, [r[1] for r in chosen], [r[2] for r in chosen])
+
+
 def predicted(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs`` with _lang_pred and _score added; other columns stay."""
 
