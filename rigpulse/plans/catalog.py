@@ -24,6 +24,7 @@ from rigpulse.operators import windows as W
 from rigpulse.plans import reads as P
 from rigpulse.plans.portable import portable
 from rigpulse.schemas import (
+    ALERT_DEFAULTS,
     ALERT_EVENT,
     ALERTS,
     DAILY_KPI,
@@ -137,6 +138,24 @@ def stored_readings(w):
     return portable(S.stored_readings(w.events()))
 
 
+@_query
+def stored_readings_scaled(w):
+    """The decimals of the readings table digit by digit."""
+    return portable(S.stored_readings(w.events()), scaled=True)
+
+
+@_query
+def stored_kpi_scaled(w):
+    """The decimals of the KPI table digit by digit."""
+    return portable(S.to_schema(w.daily_kpi(), DAILY_KPI), scaled=True)
+
+
+@_query
+def stored_alerts_scaled(w):
+    """Alerts in their stored types with the defaulted column."""
+    return portable(J.alert_rows(w.enriched()).select(*A.ALERT_COLUMNS, "acknowledged"), scaled=True)
+
+
 @_query
 def kpi_upsert(w):
     """All days written, then one day written again."""
@@ -507,7 +526,7 @@ def column_checks_derived(w):
     """The other three tables with column rules."""
     reports = [
         _column_report(w.equipment(), "equipment"),
-        _column_report(w.alerts(), "alerts"),
+        _column_report(T.with_defaults(w.alerts(), ALERT_DEFAULTS), "alerts"),
         _column_report(S.to_schema(w.daily_kpi(), DAILY_KPI), "daily_kpi"),
     ]
     return reports[0].unionByName(reports[1]).unionByName(reports[2])

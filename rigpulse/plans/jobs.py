@@ -63,8 +63,14 @@ def run_maintenance(
     services = spark.read.parquet(listed)
 
     alerts = sources.with_defaults(maintenance.service_alerts(services, as_of), C.ALERT_DEFAULTS)
+    # The ids of service alerts hold their day, so only the folder of that day can have them.
+    day = datetime.combine(datetime.fromisoformat(as_of).date(), datetime.min.time())
     stored = sources.read_or_empty(
-        lambda: sources.read_dated(spark, alerts_path, C.ALERTS, "triggered_at"), spark, C.ALERTS
+        lambda: sources.read_dated(
+            spark, alerts_path, C.ALERTS, "triggered_at", day, day + timedelta(days=1)
+        ),
+        spark,
+        C.ALERTS,
     )
     fresh = sinks.to_schema(alerts, C.ALERTS)
     # An alert already resolved stays resolved: its id is found and nothing is added. The table is

@@ -397,6 +397,12 @@ def _decimal(column: str, precision: int, scale: int) -> str:
     return f"CAST(CAST({text} AS DECIMAL({precision},{scale})) AS DOUBLE) AS {column}"
 
 
+def _scaled(column: str, precision: int, scale: int) -> str:
+    """The same decimal as text with all its places."""
+    text = f"CAST(round({column}, {scale + 6}) AS VARCHAR)"
+    return f"CAST(CAST({text} AS DECIMAL({precision},{scale})) AS VARCHAR) AS {column}"
+
+
 def _plan(table: str, cutoff: str) -> str:
     return f"""
         SELECT strftime(month, 'sensor_readings_%Y_%m') AS partition_name, month, "rows",
@@ -458,6 +464,17 @@ def all_oracles() -> dict[str, str]:
         f"SELECT event_id, equipment_id, recorded_at, {decimals}, status, fault_code FROM readings",
         "readings",
     )
+    texts = ", ".join(_scaled(c, p, s) for c, (p, s) in stored.items())
+    q["stored_readings_scaled"] = _with(
+        f"SELECT event_id, equipment_id, recorded_at, {texts}, status, fault_code FROM readings",
+        "readings",
+    )
+    q["stored_alerts_scaled"] = _with(
+        f"""SELECT alert_id, equipment_id, site_id, triggered_at, alert_type, severity, metric,
+                   {_scaled("value", 12, 3)}, {_scaled("threshold", 12, 3)}, message,
+                   FALSE AS acknowledged FROM flag_alerts""",
+        "flag_alerts",
+    )
     q["kpi_upsert"] = _with("SELECT * FROM kpi_rows", "kpi_rows")
     kpi_types = {
         "avg_engine_temp_c": (6, 2),
@@ -479,6 +496,13 @@ def all_oracles() -> dict[str, str]:
                    CAST(critical_alert_count AS INTEGER) AS critical_alert_count FROM kpis""",
         "kpis",
     )
+    texts = ", ".join(_scaled(c, p, s) for c, (p, s) in kpi_types.items())
+    q["stored_kpi_scaled"] = _with(
+        f"""SELECT equipment_id, site_id, kpi_date, {texts},
+                   CAST(alert_count AS INTEGER) AS alert_count,
+                   CAST(critical_alert_count AS INTEGER) AS critical_alert_count FROM kpis""",
+        "kpis",
+    )
     q["insert_if_absent"] = _with(
         "SELECT event_id, equipment_id, recorded_at FROM readings", "readings"
     )
@@ -759,7 +783,7 @@ def all_oracles() -> dict[str, str]:
             "not_null:site_id": "site_id IS NULL",
             "not_null:site_name": "site_name IS NULL",
             "not_null:state": "state IS NULL",
-            **{f"not_null:{c}": "TRUE" for c in ("latitude", "longitude", "timezone", "active")},
+            **{f"not_null:{c}": "TRUE" for c in ("latitude", "longitude", "timezone", "active", "created_at")},
             "max_length:timezone": "FALSE",
             "max_length:site_id": "length(site_id) > 30",
             "max_length:site_name": "length(site_name) > 100",
@@ -769,6 +793,7 @@ def all_oracles() -> dict[str, str]:
             "not_null:equipment_id": "equipment_id IS NULL",
             "not_null:service_date": "service_date IS NULL",
             "not_null:service_type": "service_type IS NULL",
+            "not_null:created_at": "TRUE",
             "max_length:equipment_id": "length(equipment_id) > 20",
             "max_length:technician": "FALSE",
             "domain:service_type": (
@@ -792,6 +817,8 @@ def all_oracles() -> dict[str, str]:
         "equipment": (
             ("equipment_id", "site_id", "equipment_type", "service_interval_hrs", "active"),
             {
+                "not_null:created_at": "TRUE",
+                "not_null:updated_at": "TRUE",
                 "max_length:equipment_id": "length(equipment_id) > 20",
                 "max_length:site_id": "length(site_id) > 30",
                 "max_length:model": "length(model) > 100",
@@ -806,6 +833,7 @@ def all_oracles() -> dict[str, str]:
             ("alert_id", "equipment_id", "site_id", "triggered_at", "alert_type", "severity",
              "metric", "value", "threshold", "message"),
             {
+                "not_null:acknowledged": "FALSE",
                 "max_length:equipment_id": "length(equipment_id) > 20",
                 "max_length:site_id": "length(site_id) > 30",
                 "max_length:alert_type": "length(alert_type) > 50",

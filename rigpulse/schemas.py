@@ -235,8 +235,25 @@ MAX_LENGTHS = {
 }
 
 NOT_NULL = {
-    "sites": ("site_id", "site_name", "state", "latitude", "longitude", "timezone", "active"),
-    "equipment": ("equipment_id", "site_id", "equipment_type", "service_interval_hrs", "active"),
+    "sites": (
+        "site_id",
+        "site_name",
+        "state",
+        "latitude",
+        "longitude",
+        "timezone",
+        "active",
+        "created_at",
+    ),
+    "equipment": (
+        "equipment_id",
+        "site_id",
+        "equipment_type",
+        "service_interval_hrs",
+        "active",
+        "created_at",
+        "updated_at",
+    ),
     "sensor_readings": ("equipment_id", "recorded_at"),
     "alerts": (
         "alert_id",
@@ -249,8 +266,9 @@ NOT_NULL = {
         "value",
         "threshold",
         "message",
+        "acknowledged",
     ),
-    "maintenance_logs": ("equipment_id", "service_date", "service_type"),
+    "maintenance_logs": ("equipment_id", "service_date", "service_type", "created_at"),
     "daily_kpi": ("equipment_id", "site_id", "kpi_date"),
 }
 

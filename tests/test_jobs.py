@@ -80,6 +80,54 @@ def test_maintenance_job_twice(spark):
     assert rows(spark.read.parquet(logs), "equipment_id", "service_date") == [("m1", date(2025, 1, 2))]
 
 
+def test_service_alerts_look_up_one_day(spark, monkeypatch):
+    """Each day adds its alert, and only that day's folder is looked up."""
+    root = scratch_dir(spark, "maintenance-days")
+    alerts, logs = f"{root}/alerts", f"{root}/logs"
+    ranges = []
+    read = jobs.sources.read_dated
+
+    def noted(session, path, schema, column, start=None, end=None):
+        if path == alerts:
+            ranges.append((start, end))
+        return read(session, path, schema, column, start, end)
+
+    monkeypatch.setattr(jobs.sources, "read_dated", noted)
+    times = ("2025-01-02 00:00:00", "2025-01-02 18:30:00", "2025-01-03 00:00:00")
+    for as_of in times:
+        jobs.run_maintenance(
+            _day(spark), equipment(spark, *FLEET), sites(spark, "s1"), alerts, logs, as_of
+        )
+    assert [(a.day, b - a) for a, b in ranges] == [(d, timedelta(days=1)) for d in (2, 2, 3)]
+    stored = read(spark, alerts, C.ALERTS, "triggered_at")
+    assert rows(stored, "equipment_id", "triggered_at") == [
+        ("m1", datetime(2025, 1, 2)), ("m1", datetime(2025, 1, 3))
+    ]
+
+
+def test_stored_rows_have_every_column_they_need(spark):
+    """Seeds, service alerts and log entries violate no rule of their tables."""
+    from rigpulse.operators.quality import column_rules, violations
+
+    root = scratch_dir(spark, "maintenance-rules")
+    jobs.run_maintenance(
+        _day(spark), equipment(spark, *FLEET), sites(spark, "s1"), f"{root}/alerts", f"{root}/logs",
+        AS_OF,
+    )
+    made = datetime(2025, 1, 1)
+    stored = {
+        "sites": jobs.sources.seed_sites(spark, made),
+        "equipment": jobs.sources.seed_equipment(spark, made),
+        "alerts": spark.read.parquet(f"{root}/alerts"),
+        "maintenance_logs": spark.read.parquet(f"{root}/logs"),
+    }
+    for table, df in stored.items():
+        rules = column_rules(
+            C.NOT_NULL[table], C.MAX_LENGTHS[table], C.DOMAINS.get(table, {}), df.columns
+        )
+        assert rows(violations(df, rules).where("violations > 0")) == [], table
+
+
 def test_service_alerts_join_the_streamed_ones(spark):
     root = scratch_dir(spark, "one-alerts-table")
     hot = {"engine_temp_c": 130.0, "timestamp": T0}
