@@ -9,7 +9,8 @@ met more than once over all documents are encoded once, in a table keyed by thei
 encoded where they stand. A join is the text from the last safe point of one chunk to the first of
 the next; it is encoded anew in its document, and where a chunk has no safe point the window
 widens over the following chunks until both ends are safe, which makes the result exactly that of
-the whole text.
+the whole text. Equal texts are one text on the way: copies are dropped inside the tasks before
+the texts are dealt, each text is joined and encoded once, and the digests go back to the ids.
 
 Null or empty text: no ids. Null ids and repeated rows: a result row each.
 """
@@ -95,8 +96,8 @@ def _texts(part: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray]]:
 
 
 # Never null, so that every join of these rows shuffles them alike and Spark shuffles them once.
-CHUNKED = "doc_id long, text_key long NOT NULL, ztext binary NOT NULL"
-RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+CHUNKED = "text_key long NOT NULL, ztext binary NOT NULL"
+RESULT = "text_key long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -119,22 +120,36 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sliced(work), "text_key long, key long, n long")
 
 
+def text_keys(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key) of every document."""
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        keys = [_key(d.tobytes()) for _, d in _texts(part)]
+        return pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(keys, pa.int64())], ["doc_id", "text_key"]
+        )
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(sliced(work), "doc_id long, text_key long")
+
+
 def compressed(docs: DataFrame) -> DataFrame:
-    """Every document with its text compressed and the hash of its text."""
+    """Every distinct text compressed, with its hash; copies go inside the tasks."""
     kinds = pa.schema(
-        [pa.field("doc_id", pa.int64()), pa.field("text_key", pa.int64(), False),
-         pa.field("ztext", pa.binary(), False)]
+        [pa.field("text_key", pa.int64(), False), pa.field("ztext", pa.binary(), False)]
     )
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         squeeze = zstandard.ZstdCompressor(level=3, write_content_size=True)
-        rows = [(doc, _key(w := d.tobytes()), squeeze.compress(w)) for doc, d in _texts(part)]
+        wholes = {_key(w := d.tobytes()): w for _, d in _texts(part)}
+        rows = [(k, squeeze.compress(w)) for k, w in wholes.items()]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], kind.type) for i, kind in enumerate(kinds)],
             schema=kinds,
         )
 
-    return docs.select("doc_id", "text").mapInArrow(sliced(work), CHUNKED)
+    found = docs.select("doc_id", "text").mapInArrow(sliced(work), CHUNKED)
+    return found.groupBy("text_key").agg(F.first("ztext").alias("ztext"))
 
 
 def _squeezed(ids) -> bytes:
@@ -162,7 +177,7 @@ def encoded_once(owned: DataFrame, path: str) -> DataFrame:
             [pa.array(made.keys(), pa.int64()), pa.array(made.values(), pa.binary())], ["key", "ids"]
         )
 
-    return owned.select("doc_id", "ztext", "keys").mapInArrow(sliced(work, "ztext"), "key long, ids binary")
+    return owned.select("ztext", "keys").mapInArrow(sliced(work, "ztext"), "key long, ids binary")
 
 
 def assembled(text: bytes, shared: dict[int, bytes], encoder: bpe.Bpe) -> list[int]:
@@ -194,8 +209,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     rows = compressed(docs)
     tasks = owners.groupBy(F.col("text_key").alias("owner")).agg(F.collect_set("key").alias("keys"))
     owned = rows.join(tasks, F.col("text_key") == F.col("owner"))
-    # Copies of the owner each encode it in their task; one of them counts.
-    store = encoded_once(owned, path).groupBy("key").agg(F.first("ids").alias("ids"))
+    store = encoded_once(owned, path)
     met = met.select("text_key", "key").distinct()
     lists = (
         met.join(store, "key")
@@ -207,17 +221,21 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
         encoder = bpe.load(path)
         out: list[tuple] = []
-        columns = (part[n].to_pylist() for n in ("doc_id", "ztext", "shared"))
-        for doc, ztext, shared in zip(*columns, strict=True):
+        columns = (part[n].to_pylist() for n in ("text_key", "ztext", "shared"))
+        for text_key, ztext, shared in zip(*columns, strict=True):
             own = {s["key"]: s["ids"] for s in shared or ()}
             ids = assembled(_stretched(ztext), own, encoder)
             text = encoder.decode(ids).encode()
-            out.append((doc, len(ids), hashlib.sha256(bpe.packed(ids)).hexdigest(),
+            out.append((text_key, len(ids), hashlib.sha256(bpe.packed(ids)).hexdigest(),
                         hashlib.sha256(text).hexdigest()))
         return pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in out], kind)
              for i, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.string()))],
-            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            ["text_key", "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
-    return joined.select("doc_id", "ztext", "shared").mapInArrow(sliced(work, "ztext"), RESULT)
+    digests = joined.select("text_key", "ztext", "shared").mapInArrow(sliced(work, "ztext"), RESULT)
+    # Small rows; Spark splits a text of very many copies, since both sides are shuffled for this.
+    return text_keys(docs).join(digests, "text_key").select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )

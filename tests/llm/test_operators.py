@@ -421,6 +421,22 @@ def test_bpe(docs):
         assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
 
 
+def test_bpe_of_copies_encodes_each_text_once(spark):
+    """A third of the rows are copies of one text, some without an id; every row has its digests."""
+    text = long_text(31, 900)
+    rows = [(i, text) for i in range(120)] + [(None, text), (500, None), (501, ""), (501, text[:-3])]
+    rows += [(600 + i, long_text(40 + i, 60) + " " + text[2000:4500]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert chunk_bpe.compressed(docs).count() == len({t or "" for _, t in rows})
+    encoder = bpe.load(bpe.vocabulary_path())
+    want = Counter()
+    for doc, t in rows:
+        ids = encoder.encode(t or "")
+        want[(doc, len(ids), hashlib.sha256(bpe.packed(ids)).hexdigest(),
+              hashlib.sha256((t or "").encode()).hexdigest())] += 1
+    assert Counter(tuple(r) for r in chunk_bpe.encoded(docs).collect()) == want
+
+
 @given(st.text(st.sampled_from("ab é\n\t   'sl1.💡<|"), max_size=900), st.integers(0, 3))
 @settings(max_examples=40, deadline=None)
 def test_any_shared_stretches_give_the_whole_encoding(text, keep):
