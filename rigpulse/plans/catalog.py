@@ -688,18 +688,24 @@ def stream_dedupe(w):
     return portable(w.spark.read.parquet(f"{root}/events").drop("batch_id"))
 
 
+# Messages of a file that a query's feed sends, about 50 MB of text.
+FILE_MESSAGES = 100_000
+
+
 def _split_feed(w, root: str, parts: int) -> Callable[..., DataFrame]:
-    """The events as message files of ``parts`` slices by id; sending a slice adds its file, which
-    is a micro-batch of its own unless ``files`` go into one."""
+    """The events as message files of ``parts`` slices by id; sending a slice adds its files, which
+    are a micro-batch of their own unless those of ``sent`` slices go into one."""
     messages = D.encode(w.events(), key="event_id")
     slice_of = F.pmod(F.xxhash64("key"), F.lit(parts))
     messages.withColumn("slice", slice_of).write.partitionBy("slice").parquet(f"{root}/sent")
+    rows_sent = w.spark.read.parquet(f"{root}/sent").count()
+    files = max(1, -(-rows_sent // (parts * FILE_MESSAGES)))
 
-    def send(*slices: int, files: int = 1) -> DataFrame:
+    def send(*slices: int, sent: int = 1) -> DataFrame:
         for i in slices:
             rows = w.spark.read.schema(RAW_MESSAGE).parquet(f"{root}/sent/slice={i}")
-            rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
-        return file_stream(w.spark, f"{root}/in", max_files_per_trigger=files)
+            rows.repartition(files).write.mode("append").parquet(f"{root}/in")
+        return file_stream(w.spark, f"{root}/in", max_files_per_trigger=sent * files)
 
     return send
 
@@ -719,7 +725,7 @@ def stream_live_deduped(w):
 
     run(send(0, 1), "c")
     run(send(1, 2), "c")
-    run(send(files=4), "begun-anew")
+    run(send(sent=4), "begun-anew")
     outputs = {
         "readings": T.read_dated(w.spark, f"{root}/readings", SENSOR_READINGS, "recorded_at"),
         "alerts": T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at"),

@@ -1,5 +1,9 @@
 """Micro-batches of any size: files they write, files they are fed by."""
 
+from types import SimpleNamespace
+
+from rigpulse.plans import catalog
+from rigpulse.session import scratch_dir
 from rigpulse.sources import decode as D
 from rigpulse.sources import folders
 from rigpulse.streaming import jobs as J
@@ -7,6 +11,12 @@ from tests.helpers import events
 from tests.test_writes_and_streams import Feed, at
 
 
+def taken(query):
+    """Rows of the micro-batches that had any."""
+    J.drain(query)
+    return [p.numInputRows for p in query.recentProgress if p.numInputRows]
+
+
 def test_a_batch_of_a_query_with_state_writes_a_file_per_folder(spark):
     feed = Feed(spark)
     sent = [{"site_id": f"s{i % 3}", "timestamp": at(days=i % 2)} for i in range(120)]
@@ -15,3 +25,15 @@ def test_a_batch_of_a_query_with_state_writes_a_file_per_folder(spark):
     J.drain(J.live_query(feed.stream(), f"{feed.root}/out", f"{feed.root}/live", J.DRAIN))
     assert folders.file_count(spark, f"{feed.root}/arc") == 6
     assert folders.file_count(spark, f"{feed.root}/out/readings") == 2
+
+
+def test_a_slice_of_many_files_is_one_batch(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "FILE_MESSAGES", 20, raising=False)
+    root = scratch_dir(spark, "slices")
+    w = SimpleNamespace(spark=spark, events=lambda: events(spark, *[{} for _ in range(200)]))
+    send = catalog._split_feed(w, root, 2)
+    stream = send(0, 1)
+    assert folders.file_count(spark, f"{root}/in") == 10
+    sizes = [spark.read.parquet(f"{root}/sent/slice={i}").count() for i in (0, 1)]
+    assert taken(J.live_query(stream, f"{root}/out", f"{root}/c", J.DRAIN)) == sizes
+    assert taken(J.live_query(send(1), f"{root}/out", f"{root}/c", J.DRAIN)) == sizes[1:]
