@@ -164,6 +164,22 @@ def test_panes_equal_single_pass_and_brute_force(spark, length, slide, chunk):
     assert found == counts
 
 
+def test_windows_of_missing_and_odd_values(spark):
+    odd = [None, float("nan"), -0.0, 7.0, float("inf")]
+    changes = [
+        {"engine_temp_c": odd[i % 5], "fuel_level_pct": odd[i % 3], "site_id": ["s", None][i % 2], "timestamp": at(minutes=3 * i)}
+        for i in range(15)
+    ]
+    frame = enrich(events(spark, *changes, {"fuel_level_pct": None, "timestamp": at(days=1)}))
+    text = lambda df: rows(df.select([F.col(c).cast("string") for c in df.columns]))
+    assert text(W.sliding_stats_by_pane(frame, chunk=4)) == text(W.sliding_stats(frame))
+
+
+def test_no_task_holds_the_windows_of_its_panes(spark):
+    """Only the panes are hashed; windows, five to a pane, leave one by one."""
+    assert plan(W.sliding_stats_by_pane(enrich(events(spark, {})))).count("HashAggregate(") == 2
+
+
 def test_pane_length_must_fit(spark):
     with pytest.raises(ValueError):
         W.sliding_stats_by_pane(enrich(events(spark, {})), 5, 2)
