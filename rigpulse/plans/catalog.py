@@ -41,6 +41,7 @@ from rigpulse.session import saved, scratch_dir
 from rigpulse.sinks import tables as S
 from rigpulse.sinks.alerts import resolve_stored
 from rigpulse.sources import decode as D
+from rigpulse.sources import folders
 from rigpulse.sources import tables as T
 from rigpulse.sources import warehouse as WH
 from rigpulse.sources.streams import RAW_MESSAGE, file_stream
@@ -688,8 +689,18 @@ def stream_dedupe(w):
     return portable(w.spark.read.parquet(f"{root}/events").drop("batch_id"))
 
 
-# Messages of a file that a query's feed sends, about 50 MB of text.
+# Messages of a file that a query's feed sends, about 50 MB of text, and the micro-batches that a
+# feed is dealt over: each looks up ids in what is stored by then, so their number is not to grow
+# with the input.
 FILE_MESSAGES = 100_000
+FEED_BATCHES = 4
+
+
+def _spread_feed(w, path: str) -> DataFrame:
+    """A stream of the message files under a path, four to a micro-batch or as many as leave
+    ``FEED_BATCHES``."""
+    files = -(-folders.file_count(w.spark, path) // FEED_BATCHES)
+    return file_stream(w.spark, path, max_files_per_trigger=max(4, files))
 
 
 def _split_feed(w, root: str, parts: int) -> Callable[..., DataFrame]:
@@ -743,7 +754,7 @@ def _store_all_alerts(w) -> str:
     """Flag alerts and device alerts through the stream, service alerts through the job."""
     root = scratch_dir(w.spark, "all-alerts")
     D.encode(w.events()).unionByName(_alert_messages(w)).write.parquet(f"{root}/in")
-    stream = file_stream(w.spark, f"{root}/in", max_files_per_trigger=4)
+    stream = _spread_feed(w, f"{root}/in")
     J.drain(J.live_query(stream, root, f"{root}/checkpoint", J.DRAIN))
     run_maintenance(
         w.readings(), w.equipment(), w.sites(), f"{root}/alerts", f"{root}/logs", WH.AS_OF
@@ -774,7 +785,7 @@ def resolve_written(w):
     """Critical alerts of three days closed in the stored table, the same ones named twice."""
     root = scratch_dir(w.spark, "resolved")
     D.encode(w.events()).write.parquet(f"{root}/in")
-    stream = file_stream(w.spark, f"{root}/in", max_files_per_trigger=4)
+    stream = _spread_feed(w, f"{root}/in")
     J.drain(J.live_query(stream, root, f"{root}/checkpoint", J.DRAIN))
     stored = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
     grave = stored.where((F.col("severity") == "CRITICAL") & (F.dayofmonth("triggered_at") <= 3))

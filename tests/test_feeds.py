@@ -37,3 +37,12 @@ def test_a_slice_of_many_files_is_one_batch(spark, monkeypatch):
     sizes = [spark.read.parquet(f"{root}/sent/slice={i}").count() for i in (0, 1)]
     assert taken(J.live_query(stream, f"{root}/out", f"{root}/c", J.DRAIN)) == sizes
     assert taken(J.live_query(send(1), f"{root}/out", f"{root}/c", J.DRAIN)) == sizes[1:]
+
+
+def test_the_batches_of_a_feed_do_not_grow_with_its_files(spark):
+    root = scratch_dir(spark, "spread")
+    messages = D.encode(events(spark, *[{"timestamp": at(minutes=i)} for i in range(120)]))
+    messages.repartition(30).write.parquet(f"{root}/in")
+    stream = catalog._spread_feed(SimpleNamespace(spark=spark), f"{root}/in")
+    batches = taken(J.live_query(stream, root, f"{root}/c", J.DRAIN))
+    assert len(batches) <= catalog.FEED_BATCHES and sum(batches) == 120
