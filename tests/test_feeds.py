@@ -1,13 +1,17 @@
 """Micro-batches of any size: files they write, files they are fed by."""
 
+from datetime import datetime, timedelta
 from types import SimpleNamespace
 
+from pyspark.sql import functions as F
+
 from rigpulse.plans import catalog
 from rigpulse.session import scratch_dir
 from rigpulse.sources import decode as D
 from rigpulse.sources import folders
 from rigpulse.streaming import jobs as J
-from tests.helpers import events
+from rigpulse.streaming import late as LA
+from tests.helpers import events, rows
 from tests.test_writes_and_streams import Feed, at
 
 
@@ -46,3 +50,16 @@ def test_the_batches_of_a_feed_do_not_grow_with_its_files(spark):
     stream = catalog._spread_feed(SimpleNamespace(spark=spark), f"{root}/in")
     batches = taken(J.live_query(stream, root, f"{root}/c", J.DRAIN))
     assert len(batches) <= catalog.FEED_BATCHES and sum(batches) == 120
+
+
+def test_parts_with_late_rows_are_sent_by_all_tasks(spark):
+    start = datetime(2024, 1, 1)
+    sent = [{"event_id": str(i), "timestamp": start + timedelta(hours=i)} for i in range(700)]
+    w = SimpleNamespace(spark=spark, events=lambda: events(spark, *sent).repartition(4))
+    root = catalog._run_with_late_rows(w)
+    assert folders.file_count(spark, f"{root}/in") > 3
+    # Every seventh event came a part later, behind all but the last minutes of the part before.
+    days = lambda i: (start + timedelta(hours=i)).day
+    late = [(str(i),) for i in range(0, 700, 7) if days(i) <= 20]
+    assert rows(LA.late_events(spark, root), "event_id") == sorted(late)
+    assert spark.read.parquet(f"{root}/on_time").where(F.col("batch_id") >= 0).count() == 700 - len(late)
