@@ -422,3 +422,30 @@ def test_old_versions_of_windows_are_dropped(spark):
     assert versions.agg(F.max("count")).first()[0] == 2  # the merged one and the newest batch's
     days = folders.days(spark, path).values()
     assert max(len(folders.batches(spark, d)) for d in days) == 2
+
+
+def test_windows_of_an_ordered_feed_leave_the_state(spark, monkeypatch):
+    from rigpulse.plans import catalog as C
+    from rigpulse.sources import warehouse as WH
+
+    path, rows_of = scratch_dir(spark, "ordered"), "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    moments = [at(minutes=(37 * i) % 200) for i in range(200)] + [None]
+    found = [(i, t, i % 2, "view", float(i), '{"k": 1}') for i, t in enumerate(moments)]
+    spark.createDataFrame(found, rows_of).write.parquet(f"{path}/events.parquet")
+    spark.createDataFrame(
+        [(i, "n", i, 1.0, "m") for i in range(2)],
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    ).write.parquet(f"{path}/customer.parquet")
+    monkeypatch.setattr(C, "FILE_MESSAGES", 10)
+    monkeypatch.setattr(C, "ORDERED_FILES", 4)
+    w = WH.Warehouse(spark, path)
+    query = J.window_query(C._ordered_feed(w), f"{path}/w", f"{path}/c", J.DRAIN)
+    J.drain(query)
+    kept = [s.numRowsTotal for p in query.recentProgress for s in p.stateOperators]
+    assert LA.dropped(query) == 0 and len(kept) >= 5
+    # Beside the windows of a batch only those the watermark still keeps, not of all 200 minutes.
+    assert max(kept) < 150
+    whole = W.sliding_stats_by_pane(w.enriched().where("timestamp IS NOT NULL"))
+    assert rows(J.current_windows(spark, f"{path}/w"), "equipment_id", "window_start", "reading_count") == rows(
+        whole, "equipment_id", "window_start", "reading_count"
+    )
