@@ -449,3 +449,21 @@ def test_windows_of_an_ordered_feed_leave_the_state(spark, monkeypatch):
     assert rows(J.current_windows(spark, f"{path}/w"), "equipment_id", "window_start", "reading_count") == rows(
         whole, "equipment_id", "window_start", "reading_count"
     )
+
+
+def test_texts_of_good_records_are_not_kept(spark, monkeypatch):
+    feed, seen = Feed(spark), []
+    bad = D.encode(events(spark, {})).withColumn("value", F.encode(F.lit("junk"), "UTF-8"))
+    feed.add(D.encode(events(spark, {"event_id": "good", "timestamp": T0})).unionByName(bad))
+    write = J.write_all_refused
+
+    def look(batch, root, batch_id):
+        seen.extend(rows(batch.select(F.col("_value").cast("string"), "problem")))
+        write(batch, root, batch_id)
+
+    monkeypatch.setattr(J, "write_all_refused", look)
+    out = f"{feed.root}/out"
+    live(feed, out)
+    assert seen == [(None, None), ("junk", "malformed")]
+    assert rows(spark.read.parquet(f"{out}/quarantine"), "value", "problem") == [("junk", "malformed")]
+    assert rows(stored(spark, out, "readings"), "event_id") == [("good",)]
