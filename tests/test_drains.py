@@ -71,3 +71,12 @@ def test_the_whole_job_holds_the_windows_of_a_batch(spark, monkeypatch):
         assert late == 0
         if query.name == "windows":
             assert max(s.numRowsTotal for p in taken for s in p.stateOperators) < 6 * 400
+
+
+def test_ids_are_kept_on_disk_and_windows_in_memory(spark):
+    root = scratch_dir(spark, "stores")
+    catalog._run_whole_job(WH.Warehouse(spark, SMALL), root, 2)
+    for name, kind in (("live", "RocksDB"), ("archive", "RocksDB"), ("windows", "HDFSBacked")):
+        noted = _noted(spark, f"{root}/checkpoint/{name}")
+        assert kind in noted["conf"][J.PROVIDER_KEY]
+        assert folders.exists(spark, f"{root}/checkpoint/{name}/offsets/1")
