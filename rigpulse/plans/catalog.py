@@ -671,6 +671,21 @@ def _run_whole_job(w, root: str, batches: int = 1) -> None:
     J.drain(*started)
 
 
+class _Fed(WH.Warehouse):
+    """The tables with the events as a stream of files under a path, so many to a micro-batch."""
+
+    def __init__(self, w: WH.Warehouse, path: str, files: int):
+        super().__init__(w.spark, w.root)
+        self.path, self.files = path, files
+
+    def table(self, name: str) -> DataFrame:
+        rows = super().table(name)
+        if name != "events":
+            return rows
+        reader = self.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", self.files)
+        return reader.parquet(self.path)
+
+
 def _standing(w) -> DataFrame:
     root = scratch_dir(w.spark, "stream-latest")
     J.drain(J.latest_query(_event_batches(w), f"{root}/latest", f"{root}/checkpoint", J.DRAIN))
@@ -794,9 +809,13 @@ def stream_live_deduped(w):
 def _store_all_alerts(w) -> str:
     """Flag alerts and device alerts through the stream, service alerts through the job."""
     root = scratch_dir(w.spark, "all-alerts")
-    D.encode(w.events()).unionByName(_alert_messages(w)).write.parquet(f"{root}/in")
-    stream = _spread_feed(w, f"{root}/in")
-    J.drain(J.live_query(stream, root, f"{root}/checkpoint", J.DRAIN))
+    # In order of time a batch looks up ids in few days that others wrote.
+    files = max(FEED_BATCHES, _files(w))
+    fed = _Fed(w, _ordered_events(w, files), -(-files // FEED_BATCHES))
+    stream = D.encode(fed.events()).unionByName(_alert_messages(fed))
+    with J.settings(w.spark, J.drain_conf(w.spark)):
+        live = J.live_query(stream, root, f"{root}/checkpoint", J.DRAIN)
+    J.drain(live)
     run_maintenance(
         w.readings(), w.equipment(), w.sites(), f"{root}/alerts", f"{root}/logs", WH.AS_OF
     )

@@ -80,3 +80,25 @@ def test_ids_are_kept_on_disk_and_windows_in_memory(spark):
         noted = _noted(spark, f"{root}/checkpoint/{name}")
         assert kind in noted["conf"][J.PROVIDER_KEY]
         assert folders.exists(spark, f"{root}/checkpoint/{name}/offsets/1")
+
+
+def test_alerts_are_fed_in_order_of_time(spark, monkeypatch):
+    seen, real = {}, J.live_query
+
+    def watched(stream, root, checkpoint, trigger):
+        J.drain(J.append_query(stream, f"{root}/copy", f"{root}/copied", trigger))
+        seen["at"] = root
+        return real(stream, root, checkpoint, trigger)
+
+    monkeypatch.setattr(J, "live_query", watched)
+    catalog._store_all_alerts(WH.Warehouse(spark, SMALL))
+    copy = spark.read.parquet(f"{seen['at']}/copy")
+    w = WH.Warehouse(spark, SMALL)
+    sent = w.messages().unionByName(catalog._alert_messages(w))
+    columns = ["value", "topic", "timestamp"]
+    assert copy.select(columns).exceptAll(sent.select(columns)).isEmpty()
+    assert copy.count() == sent.count()
+    spans = copy.groupBy("batch_id").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    spans = spans.orderBy("batch_id").collect()
+    assert len(spans) == catalog.FEED_BATCHES
+    assert all(x.b <= y.a for x, y in zip(spans, spans[1:]))
