@@ -771,7 +771,8 @@ def _split_feed(w, root: str, parts: int) -> Callable[..., DataFrame]:
     def send(*slices: int, sent: int = 1) -> DataFrame:
         for i in slices:
             rows = w.spark.read.schema(RAW_MESSAGE).parquet(f"{root}/sent/slice={i}")
-            rows.repartition(files).write.mode("append").parquet(f"{root}/in")
+            # By a hash: dealing rows in turn sorts them first.
+            rows.repartition(files, "key", "timestamp").write.mode("append").parquet(f"{root}/in")
         return file_stream(w.spark, f"{root}/in", max_files_per_trigger=sent * files)
 
     return send
@@ -785,10 +786,12 @@ def stream_live_deduped(w):
     send = _split_feed(w, root, 3)
 
     def run(stream, checkpoint):
-        J.drain(
-            J.live_query(stream, root, f"{root}/{checkpoint}/live", J.DRAIN),
-            J.archive_query(stream, f"{root}/archive", f"{root}/{checkpoint}/archive", J.DRAIN),
-        )
+        with J.settings(w.spark, J.drain_conf(w.spark)):
+            started = (
+                J.live_query(stream, root, f"{root}/{checkpoint}/live", J.DRAIN),
+                J.archive_query(stream, f"{root}/archive", f"{root}/{checkpoint}/archive", J.DRAIN),
+            )
+        J.drain(*started)
 
     run(send(0, 1), "c")
     run(send(1, 2), "c")

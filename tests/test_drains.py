@@ -36,6 +36,37 @@ def _looked_into(monkeypatch, part):
     return seen
 
 
+def test_batches_whose_ids_are_in_the_state_are_not_looked_up(spark, monkeypatch):
+    feed = Feed(spark)
+    out = f"{feed.root}/out"
+    looked = _looked_into(monkeypatch, "/readings/")
+    for i in range(3):
+        feed.add(D.encode(events(spark, {"event_id": f"n{i}"}, {"event_id": "again"})))
+    live(feed, out)
+    feed.add(D.encode(events(spark, {"event_id": "n3"}, {"event_id": "again"})))
+    live(feed, out)
+    assert looked == []
+    found = [("again",), *[(f"n{i}",) for i in range(4)]]
+    assert rows(stored(spark, out, "readings"), "event_id") == found
+    # Another checkpoint's state knows none of them.
+    live(feed, out, "anew")
+    assert looked and rows(stored(spark, out, "readings"), "event_id") == found
+
+
+def test_archive_batches_in_the_state_are_not_looked_up(spark, monkeypatch):
+    feed = Feed(spark)
+    looked = _looked_into(monkeypatch, "/arc/")
+    archive = lambda c: J.drain(
+        J.archive_query(feed.stream(), f"{feed.root}/arc", f"{feed.root}/{c}", J.DRAIN)
+    )
+    for _ in range(2):
+        feed.add(D.encode(events(spark, {"event_id": "a"})))
+    archive("c")
+    assert looked == []
+    archive("anew")
+    assert looked and spark.read.parquet(f"{feed.root}/arc").count() == 1
+
+
 def test_batches_the_state_has_forgotten_are_looked_up(spark):
     feed = Feed(spark)
     for i in range(3):
