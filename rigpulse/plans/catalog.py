@@ -867,10 +867,12 @@ def ingest_stats_standing(w):
     send = _split_feed(w, root, 3)
     for slices in ((0, 1), (2, 1)):
         stream = send(*slices)
-        J.drain(
-            J.live_query(stream, root, f"{root}/live", J.DRAIN),
-            J.latest_query(stream, f"{root}/latest", f"{root}/newest", J.DRAIN),
-        )
+        with J.settings(w.spark, J.drain_conf(w.spark)):
+            started = (
+                J.live_query(stream, root, f"{root}/live", J.DRAIN),
+                J.latest_query(stream, f"{root}/latest", f"{root}/newest", J.DRAIN),
+            )
+        J.drain(*started)
         TO.fold(w.spark, root)
     stored = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")
     first = stored.where(F.dayofmonth("triggered_at") <= 3).select("alert_id", "triggered_at")

@@ -81,6 +81,18 @@ def test_batches_the_state_has_forgotten_are_looked_up(spark):
     assert dedupe.remembered(spark, checkpoint, 0, {}) == []
 
 
+def test_a_drain_keeps_few_stores_and_the_session_its_settings(spark):
+    key = J.STATE_PARTITIONS_KEY
+    with J.settings(spark, {key: "600"}):
+        few = J.drain_conf(spark)[key]
+        with J.settings(spark, J.drain_conf(spark)):
+            assert spark.conf.get(J.PROVIDER_KEY) == J.STATE_STORE_CONF[J.PROVIDER_KEY]
+        assert spark.conf.get(key) == "600"
+    assert int(few) == 4 * spark.sparkContext.defaultParallelism
+    assert J.drain_conf(spark)[key] == spark.conf.get(key)
+    assert "HDFSBacked" in spark.conf.get(J.PROVIDER_KEY)
+
+
 def test_the_whole_job_holds_the_windows_of_a_batch(spark, monkeypatch):
     monkeypatch.setattr(catalog, "FILE_MESSAGES", 100)
     monkeypatch.setattr(catalog, "JOB_FILES", 2, raising=False)
