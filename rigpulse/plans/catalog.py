@@ -934,7 +934,9 @@ def compacted_round_trip(w):
     send = _split_feed(w, root, 3)
     for slices in ((0, 1), (2, 0)):
         stream = send(*slices)
-        J.drain(J.live_query(stream, root, f"{root}/live", J.DRAIN))
+        with J.settings(w.spark, J.drain_conf(w.spark)):
+            live = J.live_query(stream, root, f"{root}/live", J.DRAIN)
+        J.drain(live)
         run_compaction(w.spark, root, "2024-01-31 12:00:00", grace=-1.0)
     readings = T.read_dated(w.spark, f"{root}/readings", SENSOR_READINGS, "recorded_at")
     alerts = T.read_dated(w.spark, f"{root}/alerts", ALERTS, "triggered_at")

@@ -81,6 +81,33 @@ def test_batches_the_state_has_forgotten_are_looked_up(spark):
     assert dedupe.remembered(spark, checkpoint, 0, {}) == []
 
 
+def test_merged_days_are_looked_up_whatever_their_number(spark):
+    feed = Feed(spark)
+    out = f"{feed.root}/out"
+    for i in range(3):
+        feed.add(D.encode(events(spark, {"event_id": f"n{i}"})))
+    live(feed, out)
+    path, day = f"{out}/readings", at().date()
+    sent = events(spark, {"event_id": "n0"}, {"event_id": "n2"}, {"event_id": "new"})
+    batch = sent.withColumn(dedupe.ARRIVED, F.current_timestamp())
+
+    def unseen(held):
+        fresh = dedupe.unseen(
+            batch, path, J.READINGS_STORED, "event_id", "timestamp",
+            dedupe.day_folder("timestamp"), 7, held,
+        )
+        return rows(fresh, "event_id")
+
+    assert unseen([0, 1, 2]) == [("n0",), ("n2",), ("new",)]
+    assert unseen([1, 2]) == [("n2",), ("new",)]
+    compaction.compact(spark, path, at(days=2).date(), grace=-1.0)  # 0 and 1 into 1
+    assert unseen([1, 2]) == [("n2",), ("new",)]
+    compaction.settle(spark, path)
+    assert sorted(folders.batches(spark, folders.days(spark, path)[day])) == [1, 2]
+    assert unseen([1, 2]) == [("n2",), ("new",)]
+    assert unseen([]) == [("new",)]
+
+
 def test_a_drain_keeps_few_stores_and_the_session_its_settings(spark):
     key = J.STATE_PARTITIONS_KEY
     with J.settings(spark, {key: "600"}):
